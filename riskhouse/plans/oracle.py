@@ -16,7 +16,7 @@ def _title(c: str) -> str:
     """Spark initcap for space-separated words (DuckDB has no initcap)."""
     return (
         f"array_to_string(list_transform(string_split(lower({c}), ' '), "
-        f"w -> upper(w[1]) || w[2:]), ' ')"
+        f"lambda w: upper(w[1]) || w[2:]), ' ')"
     )
 
 
@@ -195,3 +195,138 @@ UNION ALL
 SELECT 'tier', amount_tier, total_transactions, fraud_count, fraud_rate_pct, avg_transaction_amt FROM gold_tier
 UNION ALL
 SELECT 'overall', NULL, total_transactions, CAST(fraud_count AS DOUBLE), fraud_rate_pct, avg_transaction_amt FROM gold_summary""")
+
+# --- insights --------------------------------------------------------------
+register("fraud_only", BASE + "\nSELECT TransactionID, TransactionAmt FROM silver WHERE isFraud = 1")
+register("legit_only", BASE + "\nSELECT TransactionID, TransactionAmt FROM silver WHERE isFraud = 0")
+register("distinct_rows", BASE + "\nSELECT DISTINCT card4, card6, P_emaildomain FROM silver")
+register(
+    "card_risk_ranked",
+    GOLD + f"\nSELECT {_title('card4')} AS card_network, fraud_rate_pct FROM gold_card WHERE card4 <> '0'",
+)
+register(
+    "card_type_exposure",
+    BASE
+    + f"""
+SELECT {_title('card6')} AS card_type, count(isFraud) AS total, sum(isFraud) AS fraud,
+       count(isFraud) - sum(isFraud) AS legit
+FROM silver GROUP BY card6 HAVING count(isFraud) > 10""",
+)
+TOP6 = """
+top6 AS (
+  SELECT P_emaildomain, count(*) AS fraud_count FROM silver WHERE isFraud = 1
+  GROUP BY P_emaildomain ORDER BY fraud_count DESC, P_emaildomain LIMIT 6
+)"""
+register("top_fraud_domains", BASE + "," + TOP6 + "\nSELECT * FROM top6")
+register(
+    "risk_heatmap",
+    BASE
+    + ","
+    + TOP6
+    + """,
+hm AS (SELECT * FROM silver WHERE P_emaildomain IN (SELECT P_emaildomain FROM top6) AND card4 <> '0'),
+cell AS (SELECT card4, P_emaildomain, avg(isFraud) AS r FROM hm GROUP BY ALL)
+SELECT c.card4, d.P_emaildomain, round(coalesce(cell.r, 0.0), 6) AS fraud_rate
+FROM (SELECT DISTINCT card4 FROM hm) c CROSS JOIN (SELECT DISTINCT P_emaildomain FROM hm) d
+LEFT JOIN cell ON cell.card4 = c.card4 AND cell.P_emaildomain = d.P_emaildomain""",
+)
+register(
+    "amount_histogram",
+    BASE
+    + """
+SELECT risk_label AS label,
+       CAST(least(floor(least(TransactionAmt, 500.0) / 10.0), 49) * 10 AS DOUBLE) AS bin_start,
+       count(*) AS cnt
+FROM silver GROUP BY ALL""",
+)
+SEEDED = "md5(CAST(CAST(TransactionID AS INTEGER) AS VARCHAR) || '-42')"
+register(
+    "legit_sample",
+    BASE
+    + f"""
+SELECT TransactionID, least(TransactionAmt, 500.0) AS amount_capped
+FROM silver WHERE isFraud = 0 ORDER BY {SEEDED} LIMIT 1000""",
+)
+TIER_RANK = """CASE amount_tier WHEN '$0-25' THEN 0 WHEN '$25-50' THEN 1 WHEN '$50-100' THEN 2
+     WHEN '$100-200' THEN 3 WHEN '$200-500' THEN 4 WHEN '$500-1K' THEN 5 WHEN '$1K+' THEN 6 END"""
+register(
+    "tier_status_long",
+    GOLD
+    + f"""
+SELECT amount_tier AS spend_range, {TIER_RANK} AS tier_rank, 'Flagged as Fraud' AS status,
+       CAST(fraud_count AS BIGINT) AS cnt FROM gold_tier
+UNION ALL
+SELECT amount_tier, {TIER_RANK}, 'Legitimate', CAST(total_transactions - fraud_count AS BIGINT)
+FROM gold_tier""",
+)
+register(
+    "email_hotspots",
+    GOLD
+    + """
+SELECT P_emaildomain, fraud_count, fraud_rate_pct FROM gold_email WHERE P_emaildomain <> '0'
+ORDER BY fraud_count DESC, P_emaildomain LIMIT 12""",
+)
+register(
+    "key_findings",
+    GOLD
+    + f"""
+(SELECT 'riskiest_card_network' AS finding, {_title('card4')} AS segment, fraud_rate_pct AS value
+ FROM gold_card WHERE card4 <> '0' ORDER BY fraud_rate_pct DESC, segment LIMIT 1)
+UNION ALL
+(SELECT 'safest_card_network', {_title('card4')} AS segment, fraud_rate_pct
+ FROM gold_card WHERE card4 <> '0' ORDER BY fraud_rate_pct, segment LIMIT 1)
+UNION ALL
+(SELECT 'riskiest_email_domain', P_emaildomain, fraud_rate_pct
+ FROM gold_email WHERE P_emaildomain <> '0' ORDER BY fraud_rate_pct DESC, P_emaildomain LIMIT 1)
+UNION ALL
+(SELECT 'most_fraud_email_domain', P_emaildomain, fraud_count
+ FROM gold_email WHERE P_emaildomain <> '0' ORDER BY fraud_count DESC, P_emaildomain LIMIT 1)
+UNION ALL
+(SELECT 'riskiest_spend_range', amount_tier, fraud_rate_pct
+ FROM gold_tier ORDER BY fraud_rate_pct DESC, amount_tier LIMIT 1)
+UNION ALL
+SELECT 'estimated_exposure', NULL, round(avg_fraud_amt * fraud_count, 2) FROM gold_summary""",
+)
+register(
+    "estimated_exposure",
+    GOLD
+    + """
+SELECT fraud_count, avg_fraud_amt, round(avg_fraud_amt * fraud_count, 2) AS exposure FROM gold_summary""",
+)
+register(
+    "top_flagged",
+    BASE
+    + f"""
+SELECT TransactionAmt AS amount, {_title('card4')} AS card_network, {_title('card6')} AS card_type,
+       CASE WHEN P_emaildomain <> '0' THEN P_emaildomain ELSE 'Unknown' END AS email_domain,
+       'Fraud' AS status
+FROM (SELECT DISTINCT TransactionAmt, card4, card6, P_emaildomain FROM silver WHERE isFraud = 1)
+ORDER BY TransactionAmt DESC, card4, card6, P_emaildomain LIMIT 10""",
+)
+register(
+    "headline_metrics",
+    GOLD
+    + """
+SELECT coalesce(total_transactions, 0) AS transactions_monitored, coalesce(fraud_count, 0) AS fraud_alerts,
+       coalesce(legit_count, 0) AS cleared, coalesce(fraud_rate_pct, 0.0) AS fraud_rate_pct,
+       coalesce(avg_transaction_amt, 0.0) AS avg_transaction_amt, coalesce(avg_fraud_amt, 0.0) AS avg_fraud_amt
+FROM gold_summary""",
+)
+register(
+    "headline_text",
+    GOLD
+    + """
+SELECT format('{:,}', total_transactions) AS transactions_text, format('{:,}', fraud_count) AS alerts_text,
+       format('{:,}', legit_count) AS cleared_text, printf('%.2f%%', fraud_rate_pct) AS rate_text,
+       '$' || format('{:,}', CAST(round(coalesce(avg_fraud_amt, 0.0) * fraud_count) AS BIGINT)) AS exposure_text
+FROM gold_summary""",
+)
+register(
+    "literal_requests",
+    BASE
+    + f"""
+SELECT TransactionID, TransactionAmt, lower({_title('card4')}) AS card4, lower({_title('card6')}) AS card6,
+       CASE WHEN P_emaildomain IN ('gmail.com', 'yahoo.com', 'hotmail.com', 'outlook.com', 'protonmail.com')
+            THEN lower(P_emaildomain) ELSE 'unknown' END AS P_emaildomain
+FROM silver""",
+)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskhouse import schemas as S
-from riskhouse.operators import gold, silver
+from riskhouse.operators import gold, insights, silver
 from riskhouse.sources import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,3 +117,100 @@ def q_gold_rollups_single_scan(spark, sf):
         .unionByName(part("gold_fraud_by_amount_tier", "tier", "amount_tier"))
         .unionByName(part("gold_overall_summary", "overall", None))
     )
+
+
+# --- insights --------------------------------------------------------------
+def gold_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    s = silver_txn(spark, sf)
+    return {
+        "card": gold.by_card_network(s),
+        "email": gold.by_email_domain(s),
+        "tier": gold.by_amount_tier(s),
+        "summary": gold.overall_summary(s),
+    }
+
+
+@query("fraud_only")
+def q_fraud_only(spark, sf):
+    return insights.fraud_only(silver_txn(spark, sf))
+
+
+@query("legit_only")
+def q_legit_only(spark, sf):
+    return insights.legit_only(silver_txn(spark, sf))
+
+
+@query("distinct_rows")
+def q_distinct_rows(spark, sf):
+    return insights.distinct_segments(silver_txn(spark, sf))
+
+
+@query("card_risk_ranked")
+def q_card_risk_ranked(spark, sf):
+    return insights.card_risk_ranked(gold_tables(spark, sf)["card"])
+
+
+@query("card_type_exposure")
+def q_card_type_exposure(spark, sf):
+    return insights.card_type_exposure(silver_txn(spark, sf))
+
+
+@query("top_fraud_domains")
+def q_top_fraud_domains(spark, sf):
+    return insights.top_fraud_domains(silver_txn(spark, sf))
+
+
+@query("risk_heatmap")
+def q_risk_heatmap(spark, sf):
+    return insights.risk_heatmap(silver_txn(spark, sf))
+
+
+@query("amount_histogram")
+def q_amount_histogram(spark, sf):
+    return insights.amount_histogram(silver_txn(spark, sf))
+
+
+@query("legit_sample")
+def q_legit_sample(spark, sf):
+    return insights.legit_sample(silver_txn(spark, sf))
+
+
+@query("tier_status_long")
+def q_tier_status_long(spark, sf):
+    return insights.tier_status_long(gold_tables(spark, sf)["tier"])
+
+
+@query("email_hotspots")
+def q_email_hotspots(spark, sf):
+    return insights.email_hotspots(gold_tables(spark, sf)["email"])
+
+
+@query("key_findings")
+def q_key_findings(spark, sf):
+    g = gold_tables(spark, sf)
+    return insights.key_findings(g["card"], g["email"], g["tier"], g["summary"])
+
+
+@query("estimated_exposure")
+def q_estimated_exposure(spark, sf):
+    return insights.exposure(gold_tables(spark, sf)["summary"])
+
+
+@query("top_flagged")
+def q_top_flagged(spark, sf):
+    return insights.top_flagged(silver_txn(spark, sf))
+
+
+@query("headline_metrics")
+def q_headline_metrics(spark, sf):
+    return insights.headline_metrics(gold_tables(spark, sf)["summary"])
+
+
+@query("headline_text")
+def q_headline_text(spark, sf):
+    return insights.headline_text(gold_tables(spark, sf)["summary"])
+
+
+@query("literal_requests")
+def q_literal_requests(spark, sf):
+    return insights.normalize_requests(insights.request_form(silver_txn(spark, sf)))
