@@ -330,3 +330,113 @@ SELECT TransactionID, TransactionAmt, lower({_title('card4')}) AS card4, lower({
             THEN lower(P_emaildomain) ELSE 'unknown' END AS P_emaildomain
 FROM silver""",
 )
+
+# --- features and evaluation ------------------------------------------------
+FEATURE_COLS = "TransactionID, TransactionAmt, ProductCD, card1, card2, card4, card6, P_emaildomain, C1, C2, D1, isFraud"
+RAW = (
+    "WITH "
+    + TXN
+    + ","
+    + dedup_cte("txn")
+    + """,
+raw AS (
+  SELECT TRY_CAST(TransactionID AS INTEGER) AS TransactionID, TransactionAmt, ProductCD, card1, card2,
+         card4, card6, P_emaildomain, C1, C2, D1, isFraud
+  FROM dedup WHERE TRY_CAST(TransactionID AS INTEGER) IS NOT NULL
+),
+imputed AS (
+  SELECT TransactionID,
+         CASE WHEN TransactionAmt IS NULL OR isnan(TransactionAmt) THEN -999.0 ELSE TransactionAmt END AS TransactionAmt,
+         coalesce(ProductCD, 'nan') AS ProductCD,
+         CASE WHEN card1 IS NULL OR isnan(card1) THEN -999.0 ELSE card1 END AS card1,
+         CASE WHEN card2 IS NULL OR isnan(card2) THEN -999.0 ELSE card2 END AS card2,
+         coalesce(card4, 'nan') AS card4, coalesce(card6, 'nan') AS card6,
+         coalesce(P_emaildomain, 'nan') AS P_emaildomain,
+         CASE WHEN C1 IS NULL OR isnan(C1) THEN -999.0 ELSE C1 END AS C1,
+         CASE WHEN C2 IS NULL OR isnan(C2) THEN -999.0 ELSE C2 END AS C2,
+         CASE WHEN D1 IS NULL OR isnan(D1) THEN -999.0 ELSE D1 END AS D1,
+         isFraud
+  FROM raw
+)"""
+)
+register("feature_projection", RAW + f"\nSELECT {FEATURE_COLS} FROM raw")
+register("feature_impute", RAW + f"\nSELECT {FEATURE_COLS} FROM imputed")
+register(
+    "label_encode",
+    RAW
+    + """
+SELECT TransactionID,
+       CAST(dense_rank() OVER (ORDER BY card4) - 1 AS DOUBLE) AS card4_ix,
+       CAST(dense_rank() OVER (ORDER BY card6) - 1 AS DOUBLE) AS card6_ix,
+       CAST(dense_rank() OVER (ORDER BY P_emaildomain) - 1 AS DOUBLE) AS email_ix
+FROM imputed""",
+)
+SPLIT = (
+    BASE
+    + f""",
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY isFraud ORDER BY {SEEDED}, TransactionID) AS rn,
+         count(*) OVER (PARTITION BY isFraud) AS n_class
+  FROM silver
+),
+split AS (
+  SELECT *, CASE WHEN rn <= (n_class * 80 + 99) // 100 THEN 'train' ELSE 'test' END AS split FROM ranked
+)"""
+)
+register("stratified_split", SPLIT + "\nSELECT isFraud, split, count(*) AS cnt FROM split GROUP BY ALL")
+register(
+    "class_weights",
+    SPLIT
+    + """
+SELECT count_if(isFraud = 0) AS neg, count_if(isFraud = 1) AS pos,
+       round(count_if(isFraud = 0) / count_if(isFraud = 1), 6) AS pos_weight,
+       round(count(*) / (2 * count_if(isFraud = 0)), 6) AS balanced_neg,
+       round(count(*) / (2 * count_if(isFraud = 1)), 6) AS balanced_pos
+FROM split WHERE split = 'train'""",
+)
+register("label_rate", "WITH " + TXN + "\nSELECT round(avg(isFraud), 6) AS rate FROM txn")
+SCORED = (
+    BASE
+    + """,
+scored AS (
+  SELECT isFraud, D1 / 10.0 + CASE WHEN ProductCD = 'R' THEN 0.1 ELSE 0.0 END AS score FROM silver
+),
+pred AS (SELECT isFraud, CASE WHEN score > 0.5 THEN 1.0 ELSE 0.0 END AS prediction FROM scored)"""
+)
+register(
+    "roc_auc",
+    SCORED
+    + """,
+st AS (SELECT score AS s, count_if(isFraud = 1) AS pos, count_if(isFraud = 0) AS neg FROM scored GROUP BY 1),
+cum AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+        FROM st)
+SELECT round(sum(pos * (below + 0.5 * neg)) / (sum(pos) * sum(neg)), 6) AS auc FROM cum""",
+)
+register(
+    "classification_report",
+    SCORED
+    + """,
+cm AS (
+  SELECT CAST(count_if(isFraud = 0 AND prediction = 0) AS DOUBLE) AS tn,
+         CAST(count_if(isFraud = 0 AND prediction = 1) AS DOUBLE) AS fp,
+         CAST(count_if(isFraud = 1 AND prediction = 0) AS DOUBLE) AS fn,
+         CAST(count_if(isFraud = 1 AND prediction = 1) AS DOUBLE) AS tp
+  FROM pred
+),
+pr AS (
+  SELECT *, coalesce(tn / nullif(tn + fn, 0), 0) AS p0, coalesce(tn / nullif(tn + fp, 0), 0) AS r0,
+         coalesce(tp / nullif(tp + fp, 0), 0) AS p1, coalesce(tp / nullif(tp + fn, 0), 0) AS r1,
+         tn + fp AS s0, tp + fn AS s1, tn + fp + tp + fn AS n
+  FROM cm
+),
+f AS (
+  SELECT *, coalesce(p0 * r0 * 2 / nullif(p0 + r0, 0), 0) AS f0, coalesce(p1 * r1 * 2 / nullif(p1 + r1, 0), 0) AS f1
+  FROM pr
+)
+SELECT '0' AS label, round(p0, 6) AS precision, round(r0, 6) AS recall, round(f0, 6) AS f1, CAST(s0 AS BIGINT) AS support FROM f
+UNION ALL SELECT '1', round(p1, 6), round(r1, 6), round(f1, 6), CAST(s1 AS BIGINT) FROM f
+UNION ALL SELECT 'accuracy', NULL, NULL, round((tn + tp) / n, 6), CAST(n AS BIGINT) FROM f
+UNION ALL SELECT 'macro avg', round((p0 + p1) / 2, 6), round((r0 + r1) / 2, 6), round((f0 + f1) / 2, 6), CAST(n AS BIGINT) FROM f
+UNION ALL SELECT 'weighted avg', round((p0 * s0 + p1 * s1) / n, 6), round((r0 * s0 + r1 * s1) / n, 6),
+                 round((f0 * s0 + f1 * s1) / n, 6), CAST(n AS BIGINT) FROM f""",
+)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskhouse import schemas as S
-from riskhouse.operators import gold, insights, silver
+from riskhouse.operators import features, gold, insights, metrics, silver
 from riskhouse.sources import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -214,3 +214,65 @@ def q_headline_text(spark, sf):
 @query("literal_requests")
 def q_literal_requests(spark, sf):
     return insights.normalize_requests(insights.request_form(silver_txn(spark, sf)))
+
+
+# --- features and evaluation ------------------------------------------------
+def fixed_score(df: DataFrame) -> DataFrame:
+    """The fixture's fixed score: D1 / 10 + 0.1 for product R; label at 0.5."""
+    score = F.col("D1") / 10.0 + F.when(F.col("ProductCD") == "R", 0.1).otherwise(0.0)
+    return df.withColumn("score", score).withColumn(
+        "prediction", F.when(F.col("score") > S.THRESHOLD, 1.0).otherwise(0.0)
+    )
+
+
+def raw_features(spark, sf):
+    return features.raw_features(silver.deduplicate(txn(spark, sf)))
+
+
+@query("feature_projection")
+def q_feature_projection(spark, sf):
+    return raw_features(spark, sf)
+
+
+@query("feature_impute")
+def q_feature_impute(spark, sf):
+    return features.impute(raw_features(spark, sf))
+
+
+@query("label_encode")
+def q_label_encode(spark, sf):
+    df = features.impute(raw_features(spark, sf))
+    cols = ["card4", "card6", "P_emaildomain"]
+    enc = features.fit_encoder(df, cols).transform(df)
+    return enc.select(
+        S.ID,
+        F.col("card4_ix"),
+        F.col("card6_ix"),
+        F.col("P_emaildomain_ix").alias("email_ix"),
+    )
+
+
+@query("stratified_split")
+def q_stratified_split(spark, sf):
+    return features.split_counts(features.stratified_split(silver_txn(spark, sf)))
+
+
+@query("class_weights")
+def q_class_weights(spark, sf):
+    split = features.stratified_split(silver_txn(spark, sf))
+    return features.class_weights(split.filter(F.col("split") == "train"))
+
+
+@query("label_rate")
+def q_label_rate(spark, sf):
+    return features.label_rate(txn(spark, sf))
+
+
+@query("roc_auc")
+def q_roc_auc(spark, sf):
+    return metrics.roc_auc(fixed_score(silver_txn(spark, sf)))
+
+
+@query("classification_report")
+def q_classification_report(spark, sf):
+    return metrics.classification_report(fixed_score(silver_txn(spark, sf)))
