@@ -271,3 +271,21 @@ def normalize_requests(form: DataFrame) -> DataFrame:
         .otherwise(F.lower("email"))
         .alias("P_emaildomain"),
     )
+
+
+def daily_exposure(silver: DataFrame) -> DataFrame:
+    """Fraud amount per arrival day and its change against the previous day.
+
+    The window runs over the per-day aggregate (one row per day), never over
+    transactions.
+    """
+    fraud_amt = F.when(C.is_fraud(), F.col(S.AMOUNT)).otherwise(F.lit(0.0))
+    d = silver.groupBy(F.to_date(S.EVENT_TIME).alias("d")).agg(
+        F.round(F.sum(fraud_amt), 2).alias("exposure")
+    )
+    prev = F.lag("exposure").over(Window.orderBy("d"))
+    return d.select(
+        F.date_format("d", "yyyy-MM-dd").alias("day"),
+        "exposure",
+        F.round(F.col("exposure") - prev, 2).alias("change"),
+    )

@@ -440,3 +440,61 @@ UNION ALL SELECT 'macro avg', round((p0 + p1) / 2, 6), round((r0 + r1) / 2, 6),
 UNION ALL SELECT 'weighted avg', round((p0 * s0 + p1 * s1) / n, 6), round((r0 * s0 + r1 * s1) / n, 6),
                  round((f0 * s0 + f1 * s1) / n, 6), CAST(n AS BIGINT) FROM f""",
 )
+
+# --- sources and sinks ------------------------------------------------------
+TXN_ONLY = "WITH " + TXN
+register(
+    "replay_capped_scan",
+    TXN_ONLY
+    + f"""
+SELECT {BRONZE_COLS}, {TS_TEXT} FROM txn
+ORDER BY TransactionID, kafka_timestamp, TransactionAmt, card1 LIMIT 1000""",
+)
+register("csv_scan", TXN_ONLY + f"\nSELECT {BRONZE_COLS}, {TS_TEXT} FROM txn")
+register("parquet_glob_scan", TXN_ONLY + f"\nSELECT {BRONZE_COLS}, {TS_TEXT} FROM txn")
+register("bronze_parse", TXN_ONLY + f"\nSELECT {BRONZE_COLS}, {TS_TEXT} FROM txn")
+register(
+    "replay_messages",
+    TXN_ONLY
+    + """
+SELECT CAST(TRY_CAST(coalesce(TransactionID, 0) AS INTEGER) AS VARCHAR) AS key,
+       coalesce(TransactionID, 0) AS transaction_id, coalesce(TransactionAmt, 0) AS amount,
+       coalesce(card4, '0') AS card4
+FROM txn""",
+)
+register("gold_overwrite", GOLD + "\nSELECT * FROM gold_summary")
+register(
+    "silver_append_idempotent",
+    BASE + "\nSELECT count(*) AS total_rows, count(DISTINCT TransactionID) AS distinct_ids FROM silver",
+)
+
+# --- streaming --------------------------------------------------------------
+EV_ONLY = "WITH " + EV
+register(
+    "stream_bronze",
+    EV_ONLY
+    + f"""
+SELECT {BRONZE_COLS}, {TS_TEXT} FROM ev
+UNION ALL
+SELECT {BRONZE_COLS}, {TS_TEXT} FROM ev""",
+)
+register("stream_bronze_restart", EV_ONLY + f"\nSELECT {BRONZE_COLS}, {TS_TEXT} FROM ev")
+EV_SILVER = "WITH " + EV + "," + dedup_cte("ev", "ev_dedup") + "," + silver_cte("ev_dedup", "ev_silver")
+register(
+    "stream_silver",
+    EV_SILVER
+    + f"""
+SELECT {BRONZE_COLS}, risk_label, row_hash, {TS_TEXT} FROM ev_silver""",
+)
+register(
+    "exposure_trend",
+    EV_SILVER
+    + """,
+d AS (
+  SELECT CAST(kafka_timestamp AS DATE) AS d,
+         round(sum(CASE WHEN isFraud = 1 THEN TransactionAmt ELSE 0.0 END), 2) AS exposure
+  FROM ev_silver GROUP BY 1
+)
+SELECT strftime(d, '%Y-%m-%d') AS day, exposure, round(exposure - lag(exposure) OVER (ORDER BY d), 2) AS change
+FROM d""",
+)

@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from riskhouse import schemas as S
 from riskhouse.operators import features, gold, insights, metrics, silver
-from riskhouse.sources import fixtures
+from riskhouse.session import scratch_path
+from riskhouse.sources import fixtures, messages, tables
+from riskhouse.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -276,3 +278,104 @@ def q_roc_auc(spark, sf):
 @query("classification_report")
 def q_classification_report(spark, sf):
     return metrics.classification_report(fixed_score(silver_txn(spark, sf)))
+
+
+# --- sources and sinks ------------------------------------------------------
+@query("replay_capped_scan")
+def q_replay_capped_scan(spark, sf):
+    order = [S.ID, S.EVENT_TIME, S.AMOUNT, "card1"]
+    return bronze_out(tables.capped_scan(txn(spark, sf), 1000, order))
+
+
+@query("csv_scan")
+def q_csv_scan(spark, sf):
+    path = scratch_path(spark, "csv")
+    tables.write_csv(txn(spark, sf), path)
+    return bronze_out(tables.read_csv(spark, path, S.BRONZE_SCHEMA))
+
+
+@query("parquet_glob_scan")
+def q_parquet_glob_scan(spark, sf):
+    path = scratch_path(spark, "parquet")
+    txn(spark, sf).write.parquet(path)
+    return bronze_out(spark.read.schema(S.BRONZE_SCHEMA).parquet(f"{path}/*.parquet"))
+
+
+@query("replay_messages")
+def q_replay_messages(spark, sf):
+    return messages.extract_fields(messages.to_messages(txn(spark, sf), legacy_zero_fill=True))
+
+
+@query("bronze_parse")
+def q_bronze_parse(spark, sf):
+    return bronze_out(messages.parse_messages(messages.to_messages(txn(spark, sf))))
+
+
+@query("gold_overwrite")
+def q_gold_overwrite(spark, sf):
+    lake = tables.Lake.fresh(spark)
+    summary = gold.overall_summary(silver_txn(spark, sf))
+    lake.replace("gold_overall_summary", summary)
+    lake.replace("gold_overall_summary", summary)
+    return lake.read("gold_overall_summary")
+
+
+@query("silver_append_idempotent")
+def q_silver_append_idempotent(spark, sf):
+    lake = tables.Lake.fresh(spark)
+    s = silver_txn(spark, sf)
+    lake.append_new_ids("silver_transactions", s)
+    lake.append_new_ids("silver_transactions", s)  # a re-run adds nothing
+    return lake.read("silver_transactions").agg(
+        F.count(F.lit(1)).alias("total_rows"), F.count_distinct(S.ID).alias("distinct_ids")
+    )
+
+
+# --- streaming --------------------------------------------------------------
+def _landing(spark, sf, redeliver: bool) -> str:
+    """Event transactions published as message files; optionally a second,
+    complete redelivery (at-least-once producer retry)."""
+    msgs = messages.to_messages(fixtures.event_transactions(spark, sf))
+    landing = scratch_path(spark, "landing")
+    messages.publish(msgs, landing)
+    if redeliver:
+        messages.publish(msgs, landing)
+    return landing
+
+
+def _bronze(spark, landing: str, runs: int = 1) -> str:
+    bronze = scratch_path(spark, "bronze")
+    ckpt = scratch_path(spark, "ckpt-bronze")
+    for _ in range(runs):
+        ingest.run(ingest.start_bronze(spark, landing, bronze, ckpt))
+    return bronze
+
+
+@query("stream_bronze")
+def q_stream_bronze(spark, sf):
+    bronze = _bronze(spark, _landing(spark, sf, redeliver=True))
+    return bronze_out(spark.read.schema(S.BRONZE_SCHEMA).parquet(bronze))
+
+
+@query("stream_bronze_restart")
+def q_stream_bronze_restart(spark, sf):
+    bronze = _bronze(spark, _landing(spark, sf, redeliver=False), runs=2)
+    return bronze_out(spark.read.schema(S.BRONZE_SCHEMA).parquet(bronze))
+
+
+def stream_silver_path(spark, sf) -> str:
+    bronze = _bronze(spark, _landing(spark, sf, redeliver=True))
+    out = scratch_path(spark, "silver")
+    ingest.run(ingest.start_silver(spark, bronze, out, scratch_path(spark, "ckpt-silver")))
+    return out
+
+
+@query("stream_silver")
+def q_stream_silver(spark, sf):
+    s = spark.read.schema(S.SILVER_SCHEMA).parquet(stream_silver_path(spark, sf))
+    return s.select(*[c for c in S.SILVER_COLUMNS if c != S.EVENT_TIME], kafka_ts_text())
+
+
+@query("exposure_trend")
+def q_exposure_trend(spark, sf):
+    return insights.daily_exposure(silver.to_silver(fixtures.event_transactions(spark, sf)))
