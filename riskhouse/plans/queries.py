@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskhouse import schemas as S
-from riskhouse.operators import features, gold, insights, metrics, silver
+from riskhouse.operators import features, gold, insights, metrics, models, silver
 from riskhouse.session import scratch_path
 from riskhouse.sources import fixtures, messages, tables
 from riskhouse.streaming import ingest
@@ -379,3 +379,97 @@ def q_stream_silver(spark, sf):
 @query("exposure_trend")
 def q_exposure_trend(spark, sf):
     return insights.daily_exposure(silver.to_silver(fixtures.event_transactions(spark, sf)))
+
+
+# --- models (rows-only checks: no SQL oracle for a fitted model) -----------
+def model_data(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Train / test parts of the deduplicated, imputed features.  The split
+    is checkpointed to the shared folder: model fitting passes over the
+    training part many times and must not recompute dedup and split."""
+    frame = models.model_frame(raw_features(spark, sf))
+    s = features.stratified_split(frame).checkpoint(eager=True)
+    return s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
+
+
+def _trained_auc(spark, sf, kind: str) -> DataFrame:
+    train, test = model_data(spark, sf)
+    m = models.fit(kind, train)
+    return metrics.roc_auc(models.score(m, test), digits=4).select(
+        F.lit(models.MODEL_NAMES[kind]).alias("model"), "auc"
+    )
+
+
+@query("train_gbt")
+def q_train_gbt(spark, sf):
+    return _trained_auc(spark, sf, "gbt")
+
+
+@query("train_rf")
+def q_train_rf(spark, sf):
+    return _trained_auc(spark, sf, "rf")
+
+
+@query("train_lr")
+def q_train_lr(spark, sf):
+    return _trained_auc(spark, sf, "lr")
+
+
+def comparison(spark, sf) -> DataFrame:
+    train, test = model_data(spark, sf)
+    aucs = {k: models.auc_of(models.fit(k, train), test) for k in ("gbt", "rf", "lr")}
+    return models.compare(spark, aucs)
+
+
+@query("model_comparison")
+def q_model_comparison(spark, sf):
+    return comparison(spark, sf)
+
+
+@query("metrics_roundtrip")
+def q_metrics_roundtrip(spark, sf):
+    path = scratch_path(spark, "model-metrics")
+    comparison(spark, sf).write.json(path)
+    return spark.read.schema("model string, auc double, is_best boolean").json(path)
+
+
+def saved_model(spark, sf) -> tuple[str, DataFrame]:
+    """Fit the boosted-trees pipeline, save it; return its path and the test part."""
+    train, test = model_data(spark, sf)
+    path = scratch_path(spark, "model")
+    models.save(models.fit("gbt", train), path)
+    return path, test
+
+
+@query("score_batch")
+def q_score_batch(spark, sf):
+    path, test = saved_model(spark, sf)
+    scored = models.score(models.load(path), test)
+    return scored.select(S.ID, F.round("score", 6).alias("score"))
+
+
+@query("score_verdict")
+def q_score_verdict(spark, sf):
+    path, test = saved_model(spark, sf)
+    scored = models.verdict(models.score(models.load(path), test))
+    return scored.select(S.ID, F.round("score", 6).alias("score"), "pct", "verdict")
+
+
+@query("stream_score")
+def q_stream_score(spark, sf):
+    """Arriving event messages scored by the saved pipeline as they stream in."""
+    path, _ = saved_model(spark, sf)
+    model = models.load(path)
+    landing = _landing(spark, sf, redeliver=False)
+    parsed = messages.parse_messages(ingest.message_stream(spark, landing))
+    scored = models.score(model, models.model_frame(parsed))
+    out = scratch_path(spark, "scores")
+    q = (
+        scored.select(S.ID, F.round("score", 6).alias("score"))
+        .writeStream.format("parquet")
+        .option("path", out)
+        .option("checkpointLocation", scratch_path(spark, "ckpt-scores"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    ingest.run(q)
+    return spark.read.schema(f"{S.ID} double, score double").parquet(out)
