@@ -3,8 +3,8 @@
 Dedup is an aggregation, not a window: ``max(struct(order..., payload...))``
 per id combines map-side, so an id that repeats in a third of all rows
 still leaves at most one row per map task for the shuffle.  The struct
-orders by arrival time, amount, card1 (all descending) and then by the
-remaining fields, so the survivor is fully deterministic.
+orders by arrival time, amount, card1 (all descending) and then by a hash
+of all fields, so the survivor is deterministic.
 """
 
 from __future__ import annotations
@@ -18,15 +18,28 @@ from riskhouse.functions import columns as C
 SURVIVOR_ORDER = [S.EVENT_TIME, S.AMOUNT, "card1"]
 
 
-def deduplicate(bronze: DataFrame, with_copies: bool = False) -> DataFrame:
-    """One row per TransactionID (bronze columns); ``copies`` counts the input rows."""
+def deduplicate(
+    bronze: DataFrame, columns: list[str] | None = None, with_copies: bool = False
+) -> DataFrame:
+    """One row per TransactionID; ``copies`` counts the input rows.
+
+    The survivor is the greatest (arrival time, amount, card1, hash of all
+    message fields); the hash only breaks exact ties of the first three, and
+    is computed map-side.  ``columns`` limits what the shuffle carries --
+    Catalyst cannot prune fields inside an aggregate's struct -- without
+    changing which row survives.
+    """
     payload = [c for c in bronze.columns if c != S.ID]
-    ordered = SURVIVOR_ORDER + [c for c in payload if c not in SURVIVOR_ORDER]
-    aggs = [F.max(F.struct(*ordered)).alias("_s")]
+    keep = payload if columns is None else [c for c in payload if c in columns]
+    order = [F.col(c).alias(c) for c in SURVIVOR_ORDER] + [
+        F.xxhash64(*[F.col(c) for c in payload]).alias("_tie")
+    ]
+    rest = [F.col(c).alias(c) for c in keep if c not in SURVIVOR_ORDER]
+    aggs = [F.max(F.struct(*order, *rest)).alias("_s")]
     if with_copies:
         aggs.append(F.count(F.lit(1)).alias("copies"))
     out = bronze.groupBy(S.ID).agg(*aggs)
-    cols = [S.ID] + [F.col(f"_s.{c}").alias(c) for c in payload]
+    cols = [S.ID] + [F.col(f"_s.{c}").alias(c) for c in keep]
     if with_copies:
         cols.append("copies")
     return out.select(*cols)
@@ -44,12 +57,7 @@ def fill_defaults(df: DataFrame) -> DataFrame:
 
 
 def with_label_and_hash(df: DataFrame) -> DataFrame:
-    return df.withColumns(
-        {
-            "risk_label": C.risk_label(),
-            "row_hash": C.row_hash(S.ID, S.AMOUNT, "TransactionDT"),
-        }
-    )
+    return df.withColumns({"risk_label": C.risk_label(), "row_hash": C.row_hash(*HASHED)})
 
 
 def split_quarantine(deduped: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -63,13 +71,35 @@ def split_quarantine(deduped: DataFrame) -> tuple[DataFrame, DataFrame]:
 def clean(deduped: DataFrame) -> DataFrame:
     """Deduplicated bronze -> silver columns without label and hash."""
     good, _ = split_quarantine(deduped)
-    cols = [c for c in S.SILVER_COLUMNS if c not in ("risk_label", "row_hash")]
+    cols = [c for c in S.SILVER_COLUMNS if c not in ("risk_label", "row_hash") and c in deduped.columns]
     return fill_defaults(good).select(*cols)
 
 
-def to_silver(bronze: DataFrame) -> DataFrame:
-    """The whole bronze -> silver transformation, in declared column order."""
-    return with_label_and_hash(clean(deduplicate(bronze))).select(*S.SILVER_COLUMNS)
+HASHED = [S.ID, S.AMOUNT, "TransactionDT"]
+
+
+def to_silver(bronze: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """The whole bronze -> silver transformation, in declared column order.
+
+    ``columns``: the silver columns a consumer needs (default: all); the
+    dedup then carries only their inputs through its shuffle.
+    """
+    if columns is None:
+        want = list(S.SILVER_COLUMNS)
+    else:
+        want = [c for c in S.SILVER_COLUMNS if c in columns or c == S.ID]
+    need = set(want) - {"risk_label", "row_hash"}
+    if "risk_label" in want:
+        need.add(S.LABEL)
+    if "row_hash" in want:
+        need.update(HASHED)
+    c = clean(deduplicate(bronze, sorted(need)))
+    extra = {}
+    if "risk_label" in want:
+        extra["risk_label"] = C.risk_label()
+    if "row_hash" in want:
+        extra["row_hash"] = C.row_hash(*HASHED)
+    return c.withColumns(extra).select(*want) if extra else c.select(*want)
 
 
 def quarantine(bronze: DataFrame) -> DataFrame:
@@ -80,7 +110,7 @@ def quarantine(bronze: DataFrame) -> DataFrame:
 
 def quality_counts(bronze: DataFrame) -> DataFrame:
     """bronze_rows, silver_rows, fraud_rows, legit_rows, quarantined_rows in one pass."""
-    d = deduplicate(bronze, with_copies=True).withColumn("_id", F.col(S.ID).try_cast("int"))
+    d = deduplicate(bronze, [S.LABEL], with_copies=True).withColumn("_id", F.col(S.ID).try_cast("int"))
     ok = F.col("_id").isNotNull()
     return d.agg(
         F.sum("copies").cast("long").alias("bronze_rows"),

@@ -42,8 +42,12 @@ def txn(spark: SparkSession, sf: str) -> DataFrame:
     return fixtures.transactions(spark, sf)
 
 
-def silver_txn(spark: SparkSession, sf: str) -> DataFrame:
-    return silver.to_silver(txn(spark, sf))
+def silver_txn(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    """Silver of the fixture; with ``columns``, only those (plus the id)."""
+    return silver.to_silver(txn(spark, sf), list(columns) if columns else None)
+
+
+AMT, LBL = S.AMOUNT, S.LABEL
 
 
 # --- silver ----------------------------------------------------------------
@@ -59,12 +63,12 @@ def q_silver_clean(spark, sf):
 
 @query("silver_risk_label")
 def q_silver_risk_label(spark, sf):
-    return silver_txn(spark, sf).select(S.ID, S.LABEL, "risk_label")
+    return silver_txn(spark, sf, LBL, "risk_label").select(S.ID, S.LABEL, "risk_label")
 
 
 @query("silver_row_hash")
 def q_silver_row_hash(spark, sf):
-    return silver_txn(spark, sf).select(S.ID, "row_hash")
+    return silver_txn(spark, sf, "row_hash").select(S.ID, "row_hash")
 
 
 @query("silver_quality_counts")
@@ -75,33 +79,35 @@ def q_silver_quality_counts(spark, sf):
 # --- gold ------------------------------------------------------------------
 @query("gold_card_network")
 def q_gold_card_network(spark, sf):
-    return gold.by_card_network(silver_txn(spark, sf))
+    return gold.by_card_network(silver_txn(spark, sf, "card4", LBL, AMT))
 
 
 @query("gold_email_domain")
 def q_gold_email_domain(spark, sf):
-    return gold.by_email_domain(silver_txn(spark, sf))
+    return gold.by_email_domain(silver_txn(spark, sf, "P_emaildomain", LBL, AMT))
 
 
 @query("amount_tier")
 def q_amount_tier(spark, sf):
-    return gold.with_amount_tier(silver_txn(spark, sf)).select(S.ID, "amount_tier")
+    return gold.with_amount_tier(silver_txn(spark, sf, AMT)).select(S.ID, "amount_tier")
 
 
 @query("gold_amount_tier")
 def q_gold_amount_tier(spark, sf):
-    return gold.by_amount_tier(silver_txn(spark, sf))
+    return gold.by_amount_tier(silver_txn(spark, sf, LBL, AMT))
 
 
 @query("gold_overall_summary")
 def q_gold_overall_summary(spark, sf):
-    return gold.overall_summary(silver_txn(spark, sf))
+    return gold.overall_summary(silver_txn(spark, sf, LBL, AMT))
 
 
 @query("gold_rollups_single_scan")
 def q_gold_rollups_single_scan(spark, sf):
     """The four rollups from one GROUPING SETS scan, in one long table."""
-    tables = gold.split_rollups(gold.all_rollups(silver_txn(spark, sf)))
+    tables = gold.split_rollups(
+        gold.all_rollups(silver_txn(spark, sf, "card4", "P_emaildomain", LBL, AMT))
+    )
     m = ["total_transactions", "fraud_count", "fraud_rate_pct", "avg_transaction_amt"]
 
     def part(name, gset, key):
@@ -123,7 +129,7 @@ def q_gold_rollups_single_scan(spark, sf):
 
 # --- insights --------------------------------------------------------------
 def gold_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    s = silver_txn(spark, sf)
+    s = silver_txn(spark, sf, "card4", "P_emaildomain", LBL, AMT)
     return {
         "card": gold.by_card_network(s),
         "email": gold.by_email_domain(s),
@@ -134,17 +140,17 @@ def gold_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 @query("fraud_only")
 def q_fraud_only(spark, sf):
-    return insights.fraud_only(silver_txn(spark, sf))
+    return insights.fraud_only(silver_txn(spark, sf, LBL, AMT))
 
 
 @query("legit_only")
 def q_legit_only(spark, sf):
-    return insights.legit_only(silver_txn(spark, sf))
+    return insights.legit_only(silver_txn(spark, sf, LBL, AMT))
 
 
 @query("distinct_rows")
 def q_distinct_rows(spark, sf):
-    return insights.distinct_segments(silver_txn(spark, sf))
+    return insights.distinct_segments(silver_txn(spark, sf, "card4", "card6", "P_emaildomain"))
 
 
 @query("card_risk_ranked")
@@ -154,27 +160,27 @@ def q_card_risk_ranked(spark, sf):
 
 @query("card_type_exposure")
 def q_card_type_exposure(spark, sf):
-    return insights.card_type_exposure(silver_txn(spark, sf))
+    return insights.card_type_exposure(silver_txn(spark, sf, "card6", LBL))
 
 
 @query("top_fraud_domains")
 def q_top_fraud_domains(spark, sf):
-    return insights.top_fraud_domains(silver_txn(spark, sf))
+    return insights.top_fraud_domains(silver_txn(spark, sf, "P_emaildomain", LBL))
 
 
 @query("risk_heatmap")
 def q_risk_heatmap(spark, sf):
-    return insights.risk_heatmap(silver_txn(spark, sf))
+    return insights.risk_heatmap(silver_txn(spark, sf, "card4", "P_emaildomain", LBL))
 
 
 @query("amount_histogram")
 def q_amount_histogram(spark, sf):
-    return insights.amount_histogram(silver_txn(spark, sf))
+    return insights.amount_histogram(silver_txn(spark, sf, LBL, AMT))
 
 
 @query("legit_sample")
 def q_legit_sample(spark, sf):
-    return insights.legit_sample(silver_txn(spark, sf))
+    return insights.legit_sample(silver_txn(spark, sf, LBL, AMT))
 
 
 @query("tier_status_long")
@@ -200,7 +206,9 @@ def q_estimated_exposure(spark, sf):
 
 @query("top_flagged")
 def q_top_flagged(spark, sf):
-    return insights.top_flagged(silver_txn(spark, sf))
+    return insights.top_flagged(
+        silver_txn(spark, sf, LBL, AMT, "card4", "card6", "P_emaildomain")
+    )
 
 
 @query("headline_metrics")
@@ -215,7 +223,8 @@ def q_headline_text(spark, sf):
 
 @query("literal_requests")
 def q_literal_requests(spark, sf):
-    return insights.normalize_requests(insights.request_form(silver_txn(spark, sf)))
+    form = insights.request_form(silver_txn(spark, sf, AMT, "card4", "card6", "P_emaildomain"))
+    return insights.normalize_requests(form)
 
 
 # --- features and evaluation ------------------------------------------------
@@ -228,7 +237,7 @@ def fixed_score(df: DataFrame) -> DataFrame:
 
 
 def raw_features(spark, sf):
-    return features.raw_features(silver.deduplicate(txn(spark, sf)))
+    return features.raw_features(silver.deduplicate(txn(spark, sf), S.FEATURES + [LBL]))
 
 
 @query("feature_projection")
@@ -256,12 +265,12 @@ def q_label_encode(spark, sf):
 
 @query("stratified_split")
 def q_stratified_split(spark, sf):
-    return features.split_counts(features.stratified_split(silver_txn(spark, sf)))
+    return features.split_counts(features.stratified_split(silver_txn(spark, sf, LBL)))
 
 
 @query("class_weights")
 def q_class_weights(spark, sf):
-    split = features.stratified_split(silver_txn(spark, sf))
+    split = features.stratified_split(silver_txn(spark, sf, LBL))
     return features.class_weights(split.filter(F.col("split") == "train"))
 
 
@@ -272,12 +281,14 @@ def q_label_rate(spark, sf):
 
 @query("roc_auc")
 def q_roc_auc(spark, sf):
-    return metrics.roc_auc(fixed_score(silver_txn(spark, sf)))
+    return metrics.roc_auc(fixed_score(silver_txn(spark, sf, LBL, "D1", "ProductCD")))
 
 
 @query("classification_report")
 def q_classification_report(spark, sf):
-    return metrics.classification_report(fixed_score(silver_txn(spark, sf)))
+    return metrics.classification_report(
+        fixed_score(silver_txn(spark, sf, LBL, "D1", "ProductCD"))
+    )
 
 
 # --- sources and sinks ------------------------------------------------------
@@ -314,7 +325,7 @@ def q_bronze_parse(spark, sf):
 @query("gold_overwrite")
 def q_gold_overwrite(spark, sf):
     lake = tables.Lake.fresh(spark)
-    summary = gold.overall_summary(silver_txn(spark, sf))
+    summary = gold.overall_summary(silver_txn(spark, sf, LBL, AMT))
     lake.replace("gold_overall_summary", summary)
     lake.replace("gold_overall_summary", summary)
     return lake.read("gold_overall_summary")
@@ -378,7 +389,8 @@ def q_stream_silver(spark, sf):
 
 @query("exposure_trend")
 def q_exposure_trend(spark, sf):
-    return insights.daily_exposure(silver.to_silver(fixtures.event_transactions(spark, sf)))
+    ev = fixtures.event_transactions(spark, sf)
+    return insights.daily_exposure(silver.to_silver(ev, [LBL, AMT, S.EVENT_TIME]))
 
 
 # --- models (rows-only checks: no SQL oracle for a fitted model) -----------
