@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from riskhouse import schemas as S
 from riskhouse.operators import features, metrics
+from riskhouse.session import scratch_path
 
 # --- fixed values: the reference's model settings ---------------------------
 FULL_SETTINGS = {
@@ -77,8 +78,17 @@ def split(frame: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def fit(kind: str, train: DataFrame, params: dict | None = None) -> PipelineModel:
+    """Fitted pipeline, returned as saved and re-loaded from the shared folder.
+
+    A freshly fitted classifier carries its training summary, which holds a
+    DataFrame and so the session; scoring closures that capture the model
+    would then drag the session into tasks.  The saved form has no summary.
+    """
     weighted = features.with_weights(train, WEIGHTING[kind])
-    return pipeline(kind, params).fit(weighted)
+    fitted = pipeline(kind, params).fit(weighted)
+    path = scratch_path(train.sparkSession, f"model-{kind}")
+    save(fitted, path)
+    return load(path)
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -120,6 +130,9 @@ def load(path: str) -> PipelineModel:
 
 
 def boosting_progress(model: PipelineModel, test: DataFrame) -> list[float]:
-    """Log-loss on ``test`` after each boosting round (gbt pipelines only)."""
+    """Log-loss on ``test`` after each boosting round (gbt pipelines only);
+    rows without a ``weight`` column count once."""
+    if "weight" not in test.columns:
+        test = test.withColumn("weight", F.lit(1.0))
     prepared = PipelineModel(stages=model.stages[:-1]).transform(test)
     return list(model.stages[-1].evaluateEachIteration(prepared))
