@@ -40,8 +40,9 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder shared by driver and executors for tables and checkpoints.
 
     Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir) from the
-    session.  Only when neither is set -- local tests -- a fresh folder is
-    made and registered, so ``DataFrame.checkpoint()`` works too.
+    session.  Only when neither is set on a local master -- tests -- a fresh
+    folder is made and registered, so ``DataFrame.checkpoint()`` works too;
+    on a cluster a machine-local folder would be wrong, so that is an error.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None)
@@ -49,6 +50,8 @@ def shared_dir(spark: SparkSession) -> str:
         jd = sc._jsc.sc().getCheckpointDir()
         d = jd.get() if jd.isDefined() else None
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         d = tempfile.mkdtemp(prefix="riskhouse-")
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(d)
