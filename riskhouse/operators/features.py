@@ -65,26 +65,33 @@ def stratified_split(
     """Adds ``split`` = train/test: per class, the first ceil(n_c * pct / 100)
     rows in seeded-key order are train.  Exact, and no task holds a class."""
     key = split_key(seed)
-    t = df.withColumn("_key", key).withColumn(
-        "_b", F.conv(F.substring("_key", 1, hex_digits), 16, 10).cast("int")
+    # Non-null join keys: no filter gets inferred into one branch only, so
+    # both uses of ``t`` keep the same plan and share its exchanges.
+    t = df.withColumns(
+        {
+            "_key": key,
+            "_c": F.coalesce(F.col(label).cast("double"), F.lit(-1.0)),
+        }
+    ).withColumn(
+        "_b", F.coalesce(F.conv(F.substring("_key", 1, hex_digits), 16, 10).cast("int"), F.lit(0))
     )
-    hist = t.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    hist = t.groupBy("_c", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_c").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     hist = hist.select(
-        label,
+        "_c",
         "_b",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
-        F.sum("_n").over(Window.partitionBy(label)).alias("_cls"),
+        F.sum("_n").over(Window.partitionBy("_c")).alias("_cls"),
     )
-    ranked = t.join(hist, [label, "_b"]).withColumn(
+    ranked = t.join(hist, ["_c", "_b"]).withColumn(
         "_rank",
         F.col("_off")
-        + F.row_number().over(Window.partitionBy(label, "_b").orderBy("_key", S.ID)),
+        + F.row_number().over(Window.partitionBy("_c", "_b").orderBy("_key", S.ID)),
     )
     n_train = F.floor((F.col("_cls") * train_pct + 99) / 100)
     return ranked.withColumn(
         "split", F.when(F.col("_rank") <= n_train, F.lit("train")).otherwise(F.lit("test"))
-    ).drop("_key", "_b", "_off", "_cls", "_rank")
+    ).drop("_key", "_c", "_b", "_off", "_cls", "_rank")
 
 
 def split_counts(split_df: DataFrame, label: str = S.LABEL) -> DataFrame:
