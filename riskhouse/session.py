@@ -44,16 +44,20 @@ def shared_dir(spark: SparkSession) -> str:
     folder is made and registered, so ``DataFrame.checkpoint()`` works too;
     on a cluster a machine-local folder would be wrong, so that is an error.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no context; rely on the session conf
+        sc = None
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
+    if not d and sc is not None:
         jd = sc._jsc.sc().getCheckpointDir()
         d = jd.get() if jd.isDefined() else None
     if not d:
-        if not sc.master.startswith("local"):
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         d = tempfile.mkdtemp(prefix="riskhouse-")
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
+    if sc is not None and not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(d)
     return d.rstrip("/")
 
