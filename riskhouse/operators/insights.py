@@ -95,7 +95,7 @@ def risk_heatmap(silver: DataFrame, k: int = S.TOP_HEATMAP_DOMAINS) -> DataFrame
     if not domains:
         return cells.select(
             "card4", "P_emaildomain", F.lit(0.0).alias("fraud_rate")
-        ).limit(0)
+        ).filter(F.lit(False))
     wide = cells.groupBy("card4").pivot("P_emaildomain", domains).agg(F.avg(S.LABEL))
     long = wide.unpivot("card4", [_q(d) for d in domains], "P_emaildomain", "rate")
     seen = F.max(F.col("rate").isNotNull().cast("int")).over(Window.partitionBy("P_emaildomain"))

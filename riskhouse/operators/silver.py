@@ -3,8 +3,8 @@
 Dedup is an aggregation, not a window: ``max(struct(order..., payload...))``
 per id combines map-side, so an id that repeats in a third of all rows
 still leaves at most one row per map task for the shuffle.  The struct
-orders by arrival time, amount, card1 (all descending) and then by a hash
-of all fields, so the survivor is deterministic.
+orders by arrival time, amount, card1 (all descending) and then by the
+carried fields, so the survivor is deterministic.
 """
 
 from __future__ import annotations
@@ -23,19 +23,16 @@ def deduplicate(
 ) -> DataFrame:
     """One row per TransactionID; ``copies`` counts the input rows.
 
-    The survivor is the greatest (arrival time, amount, card1, hash of all
-    message fields); the hash only breaks exact ties of the first three, and
-    is computed map-side.  ``columns`` limits what the shuffle carries --
-    Catalyst cannot prune fields inside an aggregate's struct -- without
-    changing which row survives.
+    The survivor is the greatest (arrival time, amount, card1), then the
+    greatest of the carried fields in declared order (exact ties of the first
+    three are redeliveries of one message in practice).  ``columns`` limits
+    what the scan reads and the shuffle carries: Catalyst cannot prune fields
+    inside an aggregate's struct, so the caller names them.
     """
     payload = [c for c in bronze.columns if c != S.ID]
     keep = payload if columns is None else [c for c in payload if c in columns]
-    order = [F.col(c).alias(c) for c in SURVIVOR_ORDER] + [
-        F.xxhash64(*[F.col(c) for c in payload]).alias("_tie")
-    ]
-    rest = [F.col(c).alias(c) for c in keep if c not in SURVIVOR_ORDER]
-    aggs = [F.max(F.struct(*order, *rest)).alias("_s")]
+    fields = SURVIVOR_ORDER + [c for c in keep if c not in SURVIVOR_ORDER]
+    aggs = [F.max(F.struct(*[F.col(c).alias(c) for c in fields])).alias("_s")]
     if with_copies:
         aggs.append(F.count(F.lit(1)).alias("copies"))
     out = bronze.groupBy(S.ID).agg(*aggs)
