@@ -234,6 +234,20 @@ def headline_metrics(summary: DataFrame) -> DataFrame:
     )
 
 
+def headline_with_detection(summary: DataFrame, model_metrics: DataFrame) -> DataFrame:
+    """Headline strip plus the best model's AUC x 100 ("detection" figure).
+
+    The two one-row inputs are stacked and collapsed with ``max`` per column,
+    which combines them without a join; no metrics -> 0.
+    """
+    h = headline_metrics(summary).withColumn("detection_pct", F.lit(None).cast("double"))
+    d = model_metrics.agg(F.round(F.max("auc") * 100, 2).alias("detection_pct"))
+    stacked = h.unionByName(d, allowMissingColumns=True)
+    cols = h.columns
+    out = stacked.agg(*[F.max(c).alias(c) for c in cols])
+    return out.withColumn("detection_pct", F.coalesce(F.col("detection_pct"), F.lit(0.0)))
+
+
 def headline_text(summary: DataFrame) -> DataFrame:
     """Headline numbers as display text: 1,234 / 2.85% / $130,239."""
     m = headline_metrics(summary)

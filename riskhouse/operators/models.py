@@ -121,6 +121,39 @@ def compare(spark: SparkSession, aucs: dict[str, float]) -> DataFrame:
     return df.withColumn("is_best", F.col("auc") == best)
 
 
+def report(model: PipelineModel, test: DataFrame) -> DataFrame:
+    """Classification report of a model on ``test`` at the 0.5 threshold."""
+    scored = score(model, test).withColumn(
+        "prediction", F.when(F.col("score") > S.THRESHOLD, 1.0).otherwise(0.0)
+    )
+    return metrics.classification_report(scored)
+
+
+def train_and_select(
+    train: DataFrame, test: DataFrame, root: str, kinds=("gbt", "rf", "lr"), settings=None
+) -> DataFrame:
+    """Fit each model, save it under ``root``, and return the comparison table
+    (model, kind, auc, is_best, path); the best model is the highest AUC."""
+    spark = train.sparkSession
+    rows = []
+    for k in kinds:
+        m = fit(k, train, (settings or {}).get(k))
+        path = f"{root}/{k}"
+        save(m, path)
+        rows.append((MODEL_NAMES[k], k, float(auc_of(m, test)), path))
+    df = spark.createDataFrame(rows, "model string, kind string, auc double, path string")
+    best = F.max("auc").over(Window.partitionBy())  # over the few model rows only
+    return df.withColumn("is_best", F.col("auc") == best)
+
+
+def best_model(metrics_table: DataFrame) -> PipelineModel:
+    """Load the model the metrics table marks as best (ties: by name)."""
+    row = metrics_table.filter("is_best").orderBy("model").select("path").first()
+    if row is None:
+        raise ValueError("no model in the metrics table")
+    return load(row["path"])
+
+
 def save(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from riskhouse import schemas as S
 from riskhouse.functions import columns as C
-from riskhouse.operators import gold, insights, silver
+from riskhouse.operators import features, gold, insights, models, silver
 from riskhouse.sources import messages
 from riskhouse.sources.tables import Lake
 from riskhouse.streaming import ingest
@@ -71,6 +71,34 @@ def build_gold(lake: Lake) -> None:
         lake.replace(name, df)
 
 
+def train(lake: Lake, settings: dict | None = None) -> DataFrame:
+    """Fit, compare and save the three models on bronze's deduplicated,
+    unfilled features (80/20 exact stratified split, checkpointed once);
+    writes the comparison table ``model_metrics`` (JSON) and returns it."""
+    bronze = lake.read("bronze_transactions")
+    raw = features.raw_features(silver.deduplicate(bronze, S.FEATURES + [S.LABEL]))
+    split = features.stratified_split(models.model_frame(raw)).checkpoint(eager=True)
+    tr = split.filter(F.col("split") == "train")
+    te = split.filter(F.col("split") == "test")
+    table = models.train_and_select(tr, te, lake.path("models"), settings=settings)
+    table.write.mode("overwrite").json(lake.path("model_metrics"))
+    return read_model_metrics(lake)
+
+
+def read_model_metrics(lake: Lake) -> DataFrame:
+    return lake.spark.read.schema(
+        "model string, kind string, auc double, path string, is_best boolean"
+    ).json(lake.path("model_metrics"))
+
+
+def score(lake: Lake, transactions: DataFrame) -> DataFrame:
+    """Score transactions (bronze-shaped rows, batch or stream) with the best
+    saved model: id, score, percentage and verdict."""
+    model = models.best_model(read_model_metrics(lake))
+    scored = models.verdict(models.score(model, models.model_frame(transactions)))
+    return scored.select(S.ID, "score", "pct", "verdict")
+
+
 def quarantined(lake: Lake) -> DataFrame:
     return silver.quarantine(lake.read("bronze_transactions"))
 
@@ -103,7 +131,7 @@ def main(argv: list[str] | None = None) -> int:
     from riskhouse.session import build_session
 
     p = argparse.ArgumentParser(prog="riskhouse.plans.medallion")
-    p.add_argument("job", choices=["replay", "bronze", "silver", "gold", "reports"])
+    p.add_argument("job", choices=["replay", "bronze", "silver", "gold", "reports", "train"])
     p.add_argument("--lake", required=True)
     p.add_argument("--source", help="parquet/CSV of transactions (replay)")
     p.add_argument("--landing", help="landing dir or Kafka topic")
@@ -129,6 +157,8 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps(build_silver(lake, incremental=not a.full)))
     elif a.job == "gold":
         build_gold(lake)
+    elif a.job == "train":
+        train(lake, settings=models.FULL_SETTINGS).show(truncate=False)
     else:
         for name, df in reports(lake).items():
             print(name)

@@ -68,3 +68,21 @@ def test_table_contract(spark):
         lk.create_if_absent(t)  # idempotent
         assert lk.read(t).schema == S.TABLES[t]
         assert lk.read(t).count() == 0
+
+
+def test_train_select_score_and_headline(spark, lake):
+    from riskhouse.operators import insights
+
+    table = medallion.train(lake)
+    rows = table.collect()
+    assert {r.kind for r in rows} == {"gbt", "rf", "lr"}
+    assert sum(r.is_best for r in rows) >= 1 and all(0.0 <= r.auc <= 1.0 for r in rows)
+    best = max(r.auc for r in rows)
+    scored = medallion.score(lake, lake.read("bronze_transactions"))
+    assert scored.count() == lake.read("bronze_transactions").count()
+    assert scored.filter("score < 0 OR score > 1").count() == 0
+    h = insights.headline_with_detection(
+        lake.read("gold_overall_summary"), medallion.read_model_metrics(lake)
+    ).first()
+    assert h.detection_pct == round(best * 100, 2)
+    assert h.transactions_monitored == lake.read("silver_transactions").count()
