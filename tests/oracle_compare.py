@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime
 import decimal
 import math
+import os
 import sys
 import time
 from collections import Counter
@@ -30,6 +31,9 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+EXACT = bool(os.environ.get("ORACLE_EXACT"))
+
+
 def norm(v):
     if isinstance(v, decimal.Decimal):
         v = float(v)
@@ -38,7 +42,7 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 9) + 0.0
+        return v + 0.0 if EXACT else round(v, 9) + 0.0
     if isinstance(v, (datetime.datetime, datetime.date)):
         return v.isoformat()
     return v
