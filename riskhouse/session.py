@@ -69,3 +69,24 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, never reused location under the shared folder."""
     return f"{shared_dir(spark)}/riskhouse/{name}-{uuid.uuid4().hex}"
+
+
+def recommended_conf(input_bytes: int, partition_bytes: int = 256 * 1024**2) -> dict[str, str]:
+    """Settings that size scans and shuffles to the input, for cluster runs.
+
+    One initial shuffle partition per ``partition_bytes`` of input (AQE then
+    coalesces small ones and splits skewed ones), scan splits of the same
+    size, and skew detection relative to that size.
+    """
+    parts = max(200, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes * 4),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }

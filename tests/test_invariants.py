@@ -103,3 +103,21 @@ def test_dedup_survivor_is_latest_then_largest(spark):
     slim = {r[S.ID]: r for r in silver.deduplicate(df, [S.LABEL]).collect()}
     assert slim[7.0][S.LABEL] == out[7.0][S.LABEL]
     assert silver.deduplicate(df, [S.LABEL]).columns == [S.ID, S.LABEL]
+
+
+def test_hot_id_dedup(spark):
+    """One id holding a third of the rows: one survivor, the latest arrival."""
+    n = 3000
+    rows = [
+        (1.0 if i % 3 == 0 else float(i + 10), float(i), f"2024-01-01 00:00:{i % 60:02d}")
+        for i in range(n)
+    ]
+    df = spark.createDataFrame(rows, f"{S.ID} double, {S.AMOUNT} double, ts string").select(
+        S.ID, S.AMOUNT, F.lit(7.0).alias("card1"), F.col("ts").cast("timestamp").alias(S.EVENT_TIME)
+    ).repartition(8)
+    d = silver.deduplicate(df, with_copies=True)
+    hot = d.filter(F.col(S.ID) == 1.0).first()
+    assert hot.copies == n // 3
+    latest = max(i for i in range(0, n, 3) if i % 60 == max(j % 60 for j in range(0, n, 3)))
+    assert hot[S.AMOUNT] == float(latest)
+    assert d.count() == n - n // 3 + 1
