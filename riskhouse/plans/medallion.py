@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from riskhouse import schemas as S
 from riskhouse.functions import columns as C
 from riskhouse.operators import features, gold, insights, models, silver
+from riskhouse.session import checkpointed
 from riskhouse.sources import messages
 from riskhouse.sources.tables import Lake
 from riskhouse.streaming import ingest
@@ -66,7 +67,7 @@ def build_silver(lake: Lake, incremental: bool = True) -> dict:
 
 def build_gold(lake: Lake) -> None:
     """Silver -> the four gold tables from one scan of silver."""
-    rollups = gold.all_rollups(lake.read("silver_transactions")).checkpoint(eager=True)
+    rollups = checkpointed(gold.all_rollups(lake.read("silver_transactions")))
     for name, df in gold.split_rollups(rollups).items():
         lake.replace(name, df)
 
@@ -77,7 +78,7 @@ def train(lake: Lake, settings: dict | None = None) -> DataFrame:
     writes the comparison table ``model_metrics`` (JSON) and returns it."""
     bronze = lake.read("bronze_transactions")
     raw = features.raw_features(silver.deduplicate(bronze, S.FEATURES + [S.LABEL]))
-    split = features.stratified_split(models.model_frame(raw)).checkpoint(eager=True)
+    split = checkpointed(features.stratified_split(models.model_frame(raw)))
     tr = split.filter(F.col("split") == "train")
     te = split.filter(F.col("split") == "test")
     table = models.train_and_select(tr, te, lake.path("models"), settings=settings)

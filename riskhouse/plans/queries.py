@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from riskhouse import schemas as S
 from riskhouse.operators import features, gold, insights, metrics, models, silver
-from riskhouse.session import scratch_path
+from riskhouse.session import checkpointed, scratch_path
 from riskhouse.sources import fixtures, messages, tables
 from riskhouse.streaming import ingest
 
@@ -399,7 +399,7 @@ def model_data(spark, sf) -> tuple[DataFrame, DataFrame]:
     is checkpointed to the shared folder: model fitting passes over the
     training part many times and must not recompute dedup and split."""
     frame = models.model_frame(raw_features(spark, sf))
-    s = features.stratified_split(frame).checkpoint(eager=True)
+    s = checkpointed(features.stratified_split(frame))
     return s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
 
 

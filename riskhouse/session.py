@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(
@@ -90,3 +90,9 @@ def recommended_conf(input_bytes: int, partition_bytes: int = 256 * 1024**2) ->
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint (written to the shared folder), cutting lineage."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

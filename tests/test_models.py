@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from riskhouse import schemas as S
 from riskhouse.operators import features, models, silver
-from riskhouse.session import scratch_path
+from riskhouse.session import checkpointed, scratch_path
 from riskhouse.sources import fixtures
 from tests.conftest import MEDIUM
 
@@ -13,7 +13,7 @@ from tests.conftest import MEDIUM
 @pytest.fixture(scope="module")
 def parts(spark):
     raw = features.raw_features(silver.deduplicate(fixtures.transactions(spark, MEDIUM)))
-    s = features.stratified_split(models.model_frame(raw)).checkpoint(eager=True)
+    s = checkpointed(features.stratified_split(models.model_frame(raw)))
     return s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
 
 
