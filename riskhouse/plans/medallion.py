@@ -35,12 +35,12 @@ def replay(source: DataFrame, landing: str, legacy_zero_fill: bool = False, fmt:
 
 def ingest_bronze(spark: SparkSession, landing: str, lake: Lake, checkpoint: str,
                   fmt: str = "files", kafka_servers: str | None = None,
-                  available_now: bool = True):
+                  available_now: bool = True, max_per_trigger: int | None = None):
     """Bronze consumer: parse messages and append them, resuming from the checkpoint."""
     lake.create_if_absent("bronze_transactions")
     q = ingest.start_bronze(
         spark, landing, lake.path("bronze_transactions"), checkpoint, fmt, kafka_servers,
-        available_now,
+        available_now, max_per_trigger,
     )
     return ingest.run(q) if available_now else q
 
@@ -142,6 +142,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--partitions", type=int, help="replay: landing files (keyed partitions)")
     p.add_argument("--full", action="store_true", help="silver: replace instead of append")
     p.add_argument("--continuous", action="store_true", help="bronze: run until stopped")
+    p.add_argument("--max-per-trigger", type=int, help="bronze: Kafka offsets / files per batch")
     a = p.parse_args(argv)
     spark = build_session()
     lake = Lake(spark, a.lake)
@@ -151,7 +152,7 @@ def main(argv: list[str] | None = None) -> int:
                partitions=a.partitions)
     elif a.job == "bronze":
         q = ingest_bronze(spark, a.landing, lake, a.checkpoint, a.format, a.kafka_servers,
-                          available_now=not a.continuous)
+                          available_now=not a.continuous, max_per_trigger=a.max_per_trigger)
         if a.continuous:
             q.awaitTermination()
     elif a.job == "silver":
