@@ -121,3 +121,29 @@ def test_hot_id_dedup(spark):
     latest = max(i for i in range(0, n, 3) if i % 60 == max(j % 60 for j in range(0, n, 3)))
     assert hot[S.AMOUNT] == float(latest)
     assert d.count() == n - n // 3 + 1
+
+
+def test_split_exact_for_any_bucket_size(silver_df):
+    from riskhouse.operators import features
+
+    a = features.stratified_split(silver_df.select(S.ID, S.LABEL), hex_digits=1)
+    b = features.stratified_split(silver_df.select(S.ID, S.LABEL), hex_digits=4)
+    assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_auc_exact_for_any_bucket_count(spark, silver_df):
+    from riskhouse.operators import metrics
+
+    # many distinct scores, like a model's probabilities
+    scored = silver_df.select(
+        S.LABEL, (F.col(S.AMOUNT) / 3000.0 + F.col("D1") / 50.0).alias("score")
+    )
+    got = {b: metrics.roc_auc(scored, buckets=b).first().auc for b in (2, 17, 256)}
+    rows = scored.collect()
+    pos = [r.score for r in rows if r[S.LABEL] == 1.0]
+    neg = sorted(r.score for r in rows if r[S.LABEL] == 0.0)
+    import bisect
+
+    wins = sum(bisect.bisect_left(neg, p) + 0.5 * (bisect.bisect_right(neg, p) - bisect.bisect_left(neg, p)) for p in pos)
+    brute = round(wins / (len(pos) * len(neg)), 6)
+    assert set(got.values()) == {brute}
