@@ -150,3 +150,52 @@ def split_rollups(rollups: DataFrame) -> dict[str, DataFrame]:
         "gold_fraud_by_amount_tier": tier,
         "gold_overall_summary": overall,
     }
+
+
+# --- incremental gold ---------------------------------------------------------
+# Every rollup measure is algebraic (counts and sums), so gold can be kept as
+# per-group partial sums: each silver batch contributes one small partials
+# frame, and the tables are finalised from the sum of all partials -- a scan
+# of a few rows per batch instead of a scan of silver.
+PARTIAL_KEYS = ["gset", "card4", "P_emaildomain", "amount_tier"]
+PARTIAL_SUMS = ["n", "fraud_sum", "fraud_n", "amt_sum", "amt_n", "fraud_amt_sum", "fraud_amt_n"]
+
+
+def partials(silver: DataFrame) -> DataFrame:
+    """Per-group sums of one silver batch, for all four grouping sets."""
+    amt = _amt()
+    fraud_amt = F.when(C.is_fraud(), amt)
+    g = with_amount_tier(silver).groupingSets(
+        [["card4"], ["P_emaildomain"], ["amount_tier"], []], "card4", "P_emaildomain", "amount_tier"
+    ).agg(
+        F.grouping_id().alias("_gid"),
+        F.count(F.lit(1)).alias("n"),
+        F.sum(_lbl()).alias("fraud_sum"),
+        F.count_if(C.is_fraud()).alias("fraud_n"),
+        F.sum(amt).alias("amt_sum"),
+        F.count(amt).alias("amt_n"),
+        F.sum(fraud_amt).alias("fraud_amt_sum"),
+        F.count(fraud_amt).alias("fraud_amt_n"),
+    )
+    gset = (
+        F.when(F.col("_gid") == 3, F.lit("card"))
+        .when(F.col("_gid") == 5, F.lit("email"))
+        .when(F.col("_gid") == 6, F.lit("tier"))
+        .otherwise(F.lit("overall"))
+    )
+    return g.withColumn("gset", gset).select(*PARTIAL_KEYS, *PARTIAL_SUMS)
+
+
+def finalize(parts: DataFrame) -> DataFrame:
+    """Sum all partials per group and derive the rollup measures; the result
+    has the shape of ``all_rollups`` so ``split_rollups`` applies."""
+    s = parts.groupBy(*PARTIAL_KEYS).agg(*[F.sum(c).alias(c) for c in PARTIAL_SUMS])
+    return s.select(
+        *PARTIAL_KEYS,
+        F.col("n").cast("long").alias("total_transactions"),
+        F.col("fraud_sum").alias("fraud_count"),
+        F.col("fraud_n").cast("long").alias("fraud_n"),
+        F.round(F.try_divide(F.col("amt_sum"), F.col("amt_n")), 2).alias("avg_transaction_amt"),
+        F.round(F.try_divide(F.col("fraud_amt_sum"), F.col("fraud_amt_n")), 2).alias("avg_fraud_amt"),
+        C.rate_pct(F.col("fraud_sum"), F.col("n")).alias("fraud_rate_pct"),
+    )

@@ -47,7 +47,8 @@ def ingest_bronze(spark: SparkSession, landing: str, lake: Lake, checkpoint: str
 
 def build_silver(lake: Lake, incremental: bool = True) -> dict:
     """Bronze -> silver.  Incremental: append only ids not yet in silver, so a
-    re-run is a no-op; otherwise replace silver.  Returns observed counts."""
+    re-run is a no-op, and append the new rows' gold partials; otherwise
+    replace silver and the partials.  Returns observed counts."""
     bronze = lake.read("bronze_transactions")
     ob = Observation("bronze")
     os_ = Observation("silver")
@@ -59,15 +60,21 @@ def build_silver(lake: Lake, incremental: bool = True) -> dict:
         F.count_if(F.col(S.LABEL) == 0.0).alias("legit_rows"),
     )
     if incremental:
-        lake.append_new_ids("silver_transactions", s)
+        new = lake.append_new_ids("silver_transactions", s, keep=True)
+        lake.append("gold_partials", gold.partials(new))
     else:
         lake.replace("silver_transactions", s)
+        lake.replace("gold_partials", gold.partials(lake.read("silver_transactions")))
     return {**ob.get, **os_.get}
 
 
-def build_gold(lake: Lake) -> None:
-    """Silver -> the four gold tables from one scan of silver."""
-    rollups = checkpointed(gold.all_rollups(lake.read("silver_transactions")))
+def build_gold(lake: Lake, from_partials: bool = True) -> None:
+    """The four gold tables: from the partial sums (a few rows per silver
+    batch), or from one GROUPING SETS scan of silver."""
+    if from_partials:
+        rollups = checkpointed(gold.finalize(lake.read("gold_partials")))
+    else:
+        rollups = checkpointed(gold.all_rollups(lake.read("silver_transactions")))
     for name, df in gold.split_rollups(rollups).items():
         lake.replace(name, df)
 
@@ -140,7 +147,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--format", default="files", choices=["files", "kafka"])
     p.add_argument("--kafka-servers")
     p.add_argument("--partitions", type=int, help="replay: landing files (keyed partitions)")
-    p.add_argument("--full", action="store_true", help="silver: replace instead of append")
+    p.add_argument("--full", action="store_true",
+                   help="silver: replace instead of append; gold: rescan silver")
     p.add_argument("--continuous", action="store_true", help="bronze: run until stopped")
     p.add_argument("--max-per-trigger", type=int, help="bronze: Kafka offsets / files per batch")
     a = p.parse_args(argv)
@@ -158,7 +166,7 @@ def main(argv: list[str] | None = None) -> int:
     elif a.job == "silver":
         print(json.dumps(build_silver(lake, incremental=not a.full)))
     elif a.job == "gold":
-        build_gold(lake)
+        build_gold(lake, from_partials=not a.full)
     elif a.job == "train":
         train(lake, settings=models.FULL_SETTINGS).show(truncate=False)
     else:

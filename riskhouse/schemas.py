@@ -89,6 +89,15 @@ GOLD_SUMMARY_SCHEMA = StructType(
     ]
 )
 
+# Internal: per-group partial sums behind incremental gold (one row per group
+# and silver batch).
+GOLD_PARTIALS_SCHEMA = StructType(
+    [StructField(c, S) for c in ("gset", "card4", "P_emaildomain", "amount_tier")]
+    + [StructField("n", L), StructField("fraud_sum", D), StructField("fraud_n", L),
+       StructField("amt_sum", D), StructField("amt_n", L),
+       StructField("fraud_amt_sum", D), StructField("fraud_amt_n", L)]
+)
+
 TABLES: dict[str, StructType] = {
     "bronze_transactions": BRONZE_SCHEMA,
     "silver_transactions": SILVER_SCHEMA,
@@ -96,6 +105,7 @@ TABLES: dict[str, StructType] = {
     "gold_fraud_by_email_domain": GOLD_EMAIL_SCHEMA,
     "gold_fraud_by_amount_tier": GOLD_TIER_SCHEMA,
     "gold_overall_summary": GOLD_SUMMARY_SCHEMA,
+    "gold_partials": GOLD_PARTIALS_SCHEMA,
 }
 
 # --- fixed values (must equal the reference's for identical results) -------
