@@ -498,3 +498,4 @@ d AS (
 SELECT strftime(d, '%Y-%m-%d') AS day, exposure, round(exposure - lag(exposure) OVER (ORDER BY d), 2) AS change
 FROM d""",
 )
+register("gold_incremental", ORACLE["gold_rollups_single_scan"])

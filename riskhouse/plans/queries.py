@@ -105,9 +105,15 @@ def q_gold_overall_summary(spark, sf):
 @query("gold_rollups_single_scan")
 def q_gold_rollups_single_scan(spark, sf):
     """The four rollups from one GROUPING SETS scan, in one long table."""
-    tables = gold.split_rollups(
-        gold.all_rollups(silver_txn(spark, sf, "card4", "P_emaildomain", LBL, AMT))
+    return rollups_long(
+        gold.split_rollups(
+            gold.all_rollups(silver_txn(spark, sf, "card4", "P_emaildomain", LBL, AMT))
+        )
     )
+
+
+def rollups_long(tables: dict[str, DataFrame]) -> DataFrame:
+    """The four gold tables as one long table (gset, segment, measures)."""
     m = ["total_transactions", "fraud_count", "fraud_rate_pct", "avg_transaction_amt"]
 
     def part(name, gset, key):
@@ -127,6 +133,21 @@ def q_gold_rollups_single_scan(spark, sf):
     )
 
 
+@query("gold_incremental")
+def q_gold_incremental(spark, sf):
+    """Bronze delivered twice (a full redelivery); silver appended
+    incrementally after each delivery; gold finalised from the partial sums."""
+    from riskhouse.plans import medallion
+
+    lake = tables.Lake.fresh(spark)
+    bronze = txn(spark, sf)
+    for _ in range(2):
+        lake.append("bronze_transactions", bronze)
+        medallion.build_silver(lake)
+    medallion.build_gold(lake, from_partials=True)
+    return rollups_long({n: lake.read(n) for n in S.TABLES if n.startswith("gold_") and n != "gold_partials"})
+
+
 # --- insights --------------------------------------------------------------
 def gold_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     s = silver_txn(spark, sf, "card4", "P_emaildomain", LBL, AMT)

@@ -18,7 +18,7 @@ from tests.conftest import SMALL
 PLAN_ONLY = [
     k
     for k in E.oracle_sql()
-    if not k.startswith(("stream_", "csv_", "parquet_glob", "gold_overwrite", "silver_append"))
+    if not k.startswith(("stream_", "csv_", "parquet_glob", "gold_overwrite", "gold_incremental", "silver_append"))
     and k not in ("risk_heatmap", "roc_auc", "label_encode")
 ]
 
