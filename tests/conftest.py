@@ -30,10 +30,3 @@ def spark():
 
     shared_dir(s)
     yield s
-
-
-@pytest.fixture(scope="session")
-def duck_small():
-    from tests.oracle_compare import duck
-
-    return duck(SMALL)

@@ -1,10 +1,18 @@
-"""Every registered query against its DuckDB oracle (or by rows when it has none)."""
+"""Every registered query against its DuckDB oracle (or by rows when it has none).
+
+Runs at sf0.001 by default; set ORACLE_SF_DIR (e.g. /root/testdata/sf0.01, the
+driver's scale) to run the same checks elsewhere.
+"""
+
+import os
 
 import pytest
 
 import __spark_entry__ as E
 from tests.conftest import SMALL
-from tests.oracle_compare import compare
+from tests.oracle_compare import compare, duck
+
+SF_DIR = os.environ.get("ORACLE_SF_DIR", SMALL)
 
 QUERIES = E.queries()
 ORACLE = E.oracle_sql()
@@ -18,9 +26,14 @@ def test_every_query_has_oracle_or_is_model_or_stream_score():
         assert k.startswith(("train_", "score_", "model_", "metrics_", "stream_score")), k
 
 
+@pytest.fixture(scope="module")
+def con():
+    return duck(SF_DIR)
+
+
 @pytest.mark.parametrize("key", SQL_KEYS)
-def test_query_matches_oracle(spark, duck_small, key):
-    r = compare(spark, SMALL, key, QUERIES[key], ORACLE[key], duck_small)
+def test_query_matches_oracle(spark, con, key):
+    r = compare(spark, SF_DIR, key, QUERIES[key], ORACLE[key], con)
     assert r["status"] == "ok", r
 
 
