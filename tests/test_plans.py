@@ -15,11 +15,11 @@ from riskhouse.sources.tables import Lake
 from tests.conftest import SMALL
 
 # Keys whose plan is built without running jobs first (no streams, models, writes).
+WRITES = ("stream_", "csv_", "parquet_glob", "gold_overwrite", "gold_incremental", "silver_append")
 PLAN_ONLY = [
     k
     for k in E.oracle_sql()
-    if not k.startswith(("stream_", "csv_", "parquet_glob", "gold_overwrite", "gold_incremental", "silver_append"))
-    and k not in ("risk_heatmap", "roc_auc", "label_encode")
+    if not k.startswith(WRITES) and k not in ("risk_heatmap", "roc_auc", "label_encode")
 ]
 
 
