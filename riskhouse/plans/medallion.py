@@ -139,9 +139,12 @@ def main(argv: list[str] | None = None) -> int:
     from riskhouse.session import build_session
 
     p = argparse.ArgumentParser(prog="riskhouse.plans.medallion")
-    p.add_argument("job", choices=["replay", "bronze", "silver", "gold", "reports", "train"])
+    p.add_argument(
+        "job", choices=["replay", "bronze", "silver", "gold", "reports", "train", "score"]
+    )
     p.add_argument("--lake", required=True)
-    p.add_argument("--source", help="parquet/CSV of transactions (replay)")
+    p.add_argument("--source", help="parquet of bronze-shaped transactions (replay, score)")
+    p.add_argument("--out", help="score: output folder for (id, score, pct, verdict)")
     p.add_argument("--landing", help="landing dir or Kafka topic")
     p.add_argument("--checkpoint", help="stream checkpoint (bronze)")
     p.add_argument("--format", default="files", choices=["files", "kafka"])
@@ -169,6 +172,9 @@ def main(argv: list[str] | None = None) -> int:
         build_gold(lake, from_partials=not a.full)
     elif a.job == "train":
         train(lake, settings=models.FULL_SETTINGS).show(truncate=False)
+    elif a.job == "score":
+        src = spark.read.schema(S.BRONZE_SCHEMA).parquet(a.source)
+        score(lake, src).write.mode("errorifexists").parquet(a.out)
     else:
         for name, df in reports(lake).items():
             print(name)
