@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from riskhouse.llm.bpe import op7_byte_bpe
+from riskhouse.llm.langid import op3_language_id
 
 QUERIES = {
+    "op3_language_id": op3_language_id,
     "op7_byte_bpe": op7_byte_bpe,
 }
 
