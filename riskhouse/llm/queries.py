@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from riskhouse.llm.bpe import op7_byte_bpe
 from riskhouse.llm.langid import op3_language_id
+from riskhouse.llm.pii import op9_pii
 
 QUERIES = {
     "op3_language_id": op3_language_id,
     "op7_byte_bpe": op7_byte_bpe,
+    "op9_pii": op9_pii,
 }
 
 ORACLE: dict[str, str] = {}
