@@ -5,9 +5,11 @@ from __future__ import annotations
 from riskhouse.llm.bpe import op7_byte_bpe
 from riskhouse.llm.langid import op3_language_id
 from riskhouse.llm.pii import op9_pii
+from riskhouse.llm.toxicity import op6_toxicity
 
 QUERIES = {
     "op3_language_id": op3_language_id,
+    "op6_toxicity": op6_toxicity,
     "op7_byte_bpe": op7_byte_bpe,
     "op9_pii": op9_pii,
 }
