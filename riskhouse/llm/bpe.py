@@ -22,13 +22,14 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskhouse.llm import common
 
 #: Pre-tokens and their characters that a worker remembers between blocks (speed only).
-REMEMBER, REMEMBER_CHARS = 500_000, 16 << 20
+REMEMBER, REMEMBER_CHARS = 400_000, 16 << 20
 _NONE = np.int64(1) << 40
 _encoders: dict = {}
 
@@ -266,8 +267,8 @@ def _with_binary(df: DataFrame, column: str, new: str, make) -> DataFrame:
         fn = make()
         for batch in batches:
             values = batch.column(at)
-            sizes = [0 if v is None else len(v) for v in values.to_pylist()]
-            off = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+            sizes = pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False)
+            off = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
             for lo, hi in common.row_blocks(off, 2 * common.BLOCK):
                 part = batch.slice(lo, hi - lo)
                 out = pa.array(fn(part.column(at).to_pylist()), pa.binary())
