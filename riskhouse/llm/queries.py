@@ -3,15 +3,22 @@
 from __future__ import annotations
 
 from riskhouse.llm.bpe import op7_byte_bpe
+from riskhouse.llm.kdtree import ORACLE_OP2, op2_exact_topk
 from riskhouse.llm.langid import op3_language_id
 from riskhouse.llm.pii import op9_pii
 from riskhouse.llm.toxicity import op6_toxicity
+from riskhouse.llm.urls import ORACLE_OP8, op8_url_filter
 
 QUERIES = {
+    "op2_exact_topk": op2_exact_topk,
     "op3_language_id": op3_language_id,
     "op6_toxicity": op6_toxicity,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_url_filter": op8_url_filter,
     "op9_pii": op9_pii,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_exact_topk": ORACLE_OP2,
+    "op8_url_filter": ORACLE_OP8,
+}
