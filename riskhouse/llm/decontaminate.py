@@ -59,8 +59,14 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str
     rows = docs.select(key, F.xxhash64(text).alias("_t"), words(F.col(text)).alias("w"))
     hits = _exploded(rows, [key, "_t", "w"]).join(seeds, "seed")
     hits = hits.withColumn("shift", F.col("i") - F.col("item_at"))
+    # the words that the text has beside the item; one row for an alignment.  The comparison stands behind this grouping, so
+    # that the join before it stays one generated loop, which does not copy a text for each of its positions.
+    beside = F.slice("w", F.greatest("shift", F.lit(0)) + 1, F.size("item") + F.least("shift", F.lit(0)))
+    hits = hits.select(key, "_t", "item_id", "shift", beside.alias("beside"), "item")
+    hits = hits.groupBy(key, "_t", "item_id", "shift").agg(F.first("beside").alias("beside"), F.first("item").alias("item"))
     # 1 for each word of the item that the text has beside it
-    equal = F.transform("item", lambda x, j: F.when((F.col("shift") + j >= 0) & F.get(F.col("w"), F.col("shift") + j).eqNullSafe(x), F.lit(1)).otherwise(F.lit(0)))
+    at = lambda j: j + F.least("shift", F.lit(0))
+    equal = F.transform("item", lambda x, j: F.when((at(j) >= 0) & F.get("beside", at(j)).eqNullSafe(x), F.lit(1)).otherwise(F.lit(0)))
 
     def step(s, x):
         bits = (s["bits"] * 2 + x).bitwiseAND(F.lit(2**WINDOW - 1))
