@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from riskhouse.llm.bpe import op7_byte_bpe
 from riskhouse.llm.decontaminate import ORACLE_OP4, op4_decontaminate
+from riskhouse.llm.jaccard import op10_jaccard_join
 from riskhouse.llm.kdtree import ORACLE_OP2, op2_exact_topk
 from riskhouse.llm.langid import op3_language_id
 from riskhouse.llm.lines import ORACLE_OP5, op5_line_dedup
@@ -20,6 +21,7 @@ QUERIES = {
     "op7_byte_bpe": op7_byte_bpe,
     "op8_url_filter": op8_url_filter,
     "op9_pii": op9_pii,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLE: dict[str, str] = {
