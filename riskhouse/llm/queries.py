@@ -8,11 +8,13 @@ from riskhouse.llm.jaccard import op10_jaccard_join
 from riskhouse.llm.kdtree import ORACLE_OP2, op2_exact_topk
 from riskhouse.llm.langid import op3_language_id
 from riskhouse.llm.lines import ORACLE_OP5, op5_line_dedup
+from riskhouse.llm.passages import op1_substring_dedup
 from riskhouse.llm.pii import op9_pii
 from riskhouse.llm.toxicity import op6_toxicity
 from riskhouse.llm.urls import ORACLE_OP8, op8_url_filter
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_exact_topk": op2_exact_topk,
     "op3_language_id": op3_language_id,
     "op4_decontaminate": op4_decontaminate,
