@@ -9,8 +9,8 @@ a position whose pair has changed meanwhile is stale and is skipped.  The work
 for n bytes is O(n log n), however long a single pre-token is.
 
 Edge cases: a null or empty text has no ids and decodes to nothing; repeated
-rows give repeated results; other columns pass through untouched (an input that
-already has the output column is refused); an empty table gives an empty one.
+rows give repeated results; other columns pass through untouched (a column of the
+output's name is replaced); an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -166,6 +166,7 @@ def _apart(at, rank, token, after, back, owner, vocabulary, queue):
     merge would make a pair of a lower rank, which would come before the next
     pair of this rank in its pre-token, only the leftmost is merged now.
     """
+    every = at
     chained = np.append(False, after[at[:-1]] == at[1:])
     if chained.any():
         run = np.maximum.accumulate(np.where(chained, 0, np.arange(len(at))))
@@ -178,9 +179,10 @@ def _apart(at, rank, token, after, back, owner, vocabulary, queue):
         low = vocabulary.join(made, token[then]) < rank
         low |= vocabulary.join(np.where(joined, rank, token[back[at]]), made) < rank
         if low.any():
-            later = many & np.isin(owner[at], owner[at[low]])
-            queue.push(rank, at[later].tolist())
-            at = at[~later]
+            own = owner[at[low]]
+            at = at[~(many & np.isin(owner[at], own))]
+            # all others of those pre-tokens wait on, also the ones that overlap
+            queue.push(rank, every[np.isin(owner[every], own) & ~np.isin(every, at)].tolist())
     return at
 
 
@@ -259,8 +261,7 @@ def decode_ids(ids: bytes, table: np.ndarray, starts: np.ndarray, sizes: np.ndar
 
 def _with_binary(df: DataFrame, column: str, new: str, make) -> DataFrame:
     """df with a binary column of what ``make()`` (called in each task) gives for lists of ``column``'s values."""
-    if new in df.columns:
-        raise ValueError(f"the input already has a column {new}")
+    df = df.drop(new)
     at = df.columns.index(column)
 
     def run(batches):

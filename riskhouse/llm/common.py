@@ -69,6 +69,22 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+_REST = "_other_columns"
+
+
+def packed(df: DataFrame, used: list[str]) -> DataFrame:
+    """The used columns, and all others as one struct, so that no name of theirs can clash with a working column."""
+    others = [F.col(f"`{c}`") for c in df.columns if c not in used]
+    return df.select(*used, F.struct(*others or [F.lit(0).alias("none")]).alias(_REST))
+
+
+def unpacked(df: DataFrame, like: DataFrame, *more) -> DataFrame:
+    """The columns of ``like`` from a frame that packed() made of it, and more columns."""
+    held = set(df.schema[_REST].dataType.names)
+    own = lambda c: F.col(_REST).getField(c).alias(c) if c in held else F.col(f"`{c}`")
+    return df.select(*[own(c) for c in like.columns], *more)
+
+
 def held_out(doc_id):
     """crc32 of the id as text, mod 5, is 0 (null id: not held out, and not learned from)."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))

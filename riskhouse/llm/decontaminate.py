@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskhouse.llm.common import documents
+from riskhouse.llm.common import documents, packed, unpacked
 
 #: The masks; 1 is compared, 0 ignored.
 MASKS = ["111011", "1101011", "11001101"]
@@ -41,9 +41,11 @@ def _seeds(w, i):
     return F.array(*out)
 
 
-def _exploded(rows: DataFrame, columns: list[str]) -> DataFrame:
+def _exploded(rows: DataFrame, columns: list[str], keep: list[str]) -> DataFrame:
+    """A row for each position and mask that fits: the columns (of w only if it is to be kept), i and seed."""
     at = rows.select(*columns, F.explode(F.sequence(F.lit(0), F.greatest(F.size("w") - 1, F.lit(0)))).alias("i"))
-    return at.select(*columns, "i", F.explode(_seeds(F.col("w"), F.col("i"))).alias("seed")).where("seed is not null")
+    kept = [c for c in columns if c != "w" or "w" in keep]
+    return at.select(*kept, "i", F.explode(_seeds(F.col("w"), F.col("i"))).alias("seed")).where("seed is not null")
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -53,12 +55,15 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str
     negative); n_equal the number of equal words of the item there.
     """
     items = benchmark.where("text is not null").select("item_id", words(F.col("text")).alias("w")).where(F.size("w") >= MIN_WORDS)
-    seeds = _exploded(items, ["item_id", "w"]).select("seed", "item_id", F.col("i").alias("item_at"), F.col("w").alias("item")).distinct()
-    if seeds.count() <= BROADCAST_SEEDS:
-        seeds = F.broadcast(seeds)
+    seeds = _exploded(items, ["item_id", "w"], ["w"]).select("seed", "item_id", F.col("i").alias("item_at"), F.col("w").alias("item")).distinct()
     rows = docs.select(key, F.xxhash64(text).alias("_t"), words(F.col(text)).alias("w"))
-    hits = _exploded(rows, [key, "_t", "w"]).join(seeds, "seed")
-    hits = hits.withColumn("shift", F.col("i") - F.col("item_at"))
+    at = (F.col("i") - F.col("item_at")).alias("shift")
+    if seeds.count() <= BROADCAST_SEEDS:
+        hits = _exploded(rows, [key, "_t", "w"], ["w"]).join(F.broadcast(seeds), "seed").select(key, "_t", "w", "item_id", "item", at)
+    else:
+        # only positions travel; the hits fetch their texts afterwards
+        hits = _exploded(rows, [key, "_t", "w"], []).join(seeds.hint("merge"), "seed").select(F.col(key).alias("k"), F.col("_t").alias("x"), "item_id", "item", at).distinct()
+        hits = hits.join(rows.dropDuplicates([key, "_t"]).hint("merge"), F.col(key).eqNullSafe(F.col("k")) & F.col("_t").eqNullSafe(F.col("x")))
     # the words that the text has beside the item; one row for an alignment.  The comparison stands behind this grouping, so
     # that the join before it stays one generated loop, which does not copy a text for each of its positions.
     beside = F.slice("w", F.greatest("shift", F.lit(0)) + 1, F.size("item") + F.least("shift", F.lit(0)))
@@ -89,8 +94,10 @@ def op4_decontaminate(spark, sf_dir: str) -> DataFrame:
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Pipeline stage: the documents that no item contaminates."""
-    bad = overlaps(docs, benchmark).select(F.col("doc_id").alias("_d"), F.col("_t").alias("_x")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_x")), "left_anti")
+    own = packed(docs, ["doc_id", "text"])
+    bad = overlaps(own, benchmark).select(F.col("doc_id").alias("_d"), F.col("_t").alias("_x")).distinct()
+    kept = own.join(bad, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_x")), "left_anti")
+    return unpacked(kept, docs)
 
 
 def _oracle() -> str:

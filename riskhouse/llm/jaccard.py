@@ -421,8 +421,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     group = F.coalesce("component_id", F.lit(2**63 - 1))
     best = found.select(group.alias("g"), id_.alias("_d"), F.col("t").alias("_t")).groupBy("g").agg(F.min(F.struct("_d", "_t")).alias("b"))
     best = best.select("b.*").withColumn("_keep", F.lit(True))
-    keyed = docs.withColumns({"_d": F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)), "_t": F.xxhash64("text")})
+    keyed = common.packed(docs, ["doc_id", "text"]).withColumns({"_d": F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)), "_t": F.xxhash64("text")})
     blank = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     kept = keyed.join(best, ["_d", "_t"], "left").where(F.col("_keep") | blank)
     solid, empty = kept.where(~blank).dropDuplicates(["_d", "_t"]), kept.where(blank)
-    return solid.unionByName(empty).select(docs.columns)
+    return common.unpacked(solid.unionByName(empty), docs)

@@ -25,7 +25,7 @@ from riskhouse.llm.trees import sigmoid
 
 #: Labelled rows that the classifier is fitted on at most, and words that it weighs at most.
 SAMPLE, WORDS = 16_000, 4_096
-RIDGE, SWAP, ROUNDS = 1e-4, 1.0, 400
+RIDGE, SWAP, ROUNDS = 1e-4, 25.0, 400
 #: Identity terms by group, each swapped for the others of its group.
 IDENTITIES = [
     ["man", "woman", "men", "women", "male", "female", "boy", "girl"],
@@ -162,6 +162,7 @@ def fit(docs: DataFrame, labels: DataFrame, learned) -> Classifier:
 
 def score(docs: DataFrame, model: Classifier, text: str = "text") -> DataFrame:
     """docs without ``text``, with toxic_score (0 to 1)."""
+    docs = docs.drop("toxic_score")
     at = docs.columns.index(text)
 
     def run(batches):

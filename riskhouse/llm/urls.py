@@ -14,7 +14,7 @@ fits is blocked if the purity of its template is 1/2 or more.
 
 Edge cases: a null url or one without ``://`` has an empty host and path; an empty path has the empty template; repeated rows
 count as often as they come; urls of any length are read, their segments beyond DEPTH fall under one wildcard; without any
-labelled row the purity is 0 and the verdict allow; other columns of the input pass through; an empty table gives an empty result.
+labelled row the purity is 0 and the verdict allow; other columns of the input pass through, but for those of the output's names, which are replaced; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskhouse.llm.common import shared_checkpoint
+from riskhouse.llm.common import packed, shared_checkpoint, unpacked
 
 #: Depth of the tree, and the limits above.
 DEPTH, KEEP, SPREAD, WEIGHT, DIFFER = 6, 20, 50, 8.0, 3.0
@@ -92,7 +92,9 @@ def _purity(bad, n, wider):
 def judge(pages: DataFrame, url: str = "url") -> DataFrame:
     """pages without ``url``, with host, path, rule, template, purity and verdict."""
     host, path = split_url(F.col(url))
-    rows = pages.withColumns({"host": host, "path": path}).drop(url)
+    made = ["host", "path", "rule", "template", "purity", "verdict"]
+    pages = pages.drop(*[c for c in made if c != url])
+    rows = packed(pages, [url]).withColumns({"host": host, "path": path}).drop(url)
     rule, ruled = rule_of(F.col("host"), F.col("path"))
     rows = rows.withColumns({"rule": rule, "_ruled": ruled, "shape": shaped(F.col("path"))})
     count = {"n": F.count("*"), "bad": F.count_if(F.col("_ruled") == "block"), "known": F.count("_ruled")}
@@ -108,7 +110,8 @@ def judge(pages: DataFrame, url: str = "url") -> DataFrame:
     hosts = hosts.join(domains, ["template", "domain"]).withColumn("purity", _purity(F.col("h_bad"), F.col("h_n"), F.col("_d"))).select("template", "host", "purity")
     known = tree.select("host", "shape", "template").join(hosts, ["template", "host"])
     method = F.when(F.col("purity") >= 0.5, F.lit("block")).otherwise(F.lit("allow"))
-    return rows.join(known, ["host", "shape"], "left").withColumn("verdict", F.coalesce("_ruled", method)).drop("_ruled", "shape")
+    out = rows.join(known, ["host", "shape"], "left").withColumn("verdict", F.coalesce("_ruled", method))
+    return unpacked(out, pages.drop(url), *made)
 
 
 def op8_url_filter(spark, sf_dir: str) -> DataFrame:
