@@ -8,7 +8,7 @@ GROUPING SETS, which is what the batch job uses at scale.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskhouse import schemas as S
@@ -125,6 +125,44 @@ def all_rollups(silver: DataFrame) -> DataFrame:
     return g.withColumn("gset", gset).drop("_gid")
 
 
+def top_domains_only(rollups: DataFrame) -> DataFrame:
+    """Rollups with the e-mail rows ranked and cut to the table's top domains.
+
+    The window runs over rollup rows (one per group), never over transactions.
+    """
+    rank = F.row_number().over(
+        Window.partitionBy("gset").orderBy(F.col("fraud_count").desc(), F.col("P_emaildomain").asc())
+    )
+    ranked = rollups.withColumn("_rank", rank)
+    return ranked.filter((F.col("gset") != "email") | (F.col("_rank") <= S.TOP_EMAIL_DOMAINS)).drop("_rank")
+
+
+def segment() -> Column:
+    """The group key of a rollup row; null for the overall row."""
+    g = F.col("gset")
+    return (
+        F.when(g == "card", F.col("card4"))
+        .when(g == "email", F.col("P_emaildomain"))
+        .when(g == "tier", F.col("amount_tier"))
+    )
+
+
+def rollups_long(rollups: DataFrame) -> DataFrame:
+    """The four gold tables as one long table, straight from ``all_rollups``."""
+    overall = F.col("gset") == "overall"
+    fraud = F.when(overall, F.col("fraud_n").cast("double")).otherwise(F.col("fraud_count"))
+    return top_domains_only(rollups).select(
+        "gset",
+        segment().alias("segment"),
+        "total_transactions",
+        fraud.alias("fraud_count"),
+        F.when(overall, C.rate_pct(F.col("fraud_n"), F.col("total_transactions")))
+        .otherwise(F.col("fraud_rate_pct"))
+        .alias("fraud_rate_pct"),
+        "avg_transaction_amt",
+    )
+
+
 def split_rollups(rollups: DataFrame) -> dict[str, DataFrame]:
     """The four gold tables from ``all_rollups`` output."""
     r = rollups

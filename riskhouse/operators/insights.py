@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from riskhouse import schemas as S
 from riskhouse.functions import columns as C
+from riskhouse.operators import gold
 
 
 def fraud_only(silver: DataFrame) -> DataFrame:
@@ -68,45 +69,45 @@ def _q(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def _heat_cells(silver: DataFrame, k: int) -> tuple[DataFrame, list[str]]:
-    domains = [r[0] for r in top_fraud_domains(silver, k).collect()]  # <= k values
-    cells = silver.filter(F.col("P_emaildomain").isin(domains) & not_sentinel("card4"))
-    return cells, domains
+def _heat_cells(silver: DataFrame, k: int) -> DataFrame:
+    """(card4, P_emaildomain, fraud_sum, labelled) of the top-k domains' cells.
+
+    One aggregate over silver; the top domains are ranked on its small result
+    and semi-joined to it, without a job in between.
+    """
+    cells = silver.groupBy("card4", "P_emaildomain").agg(
+        F.sum(S.LABEL).alias("fraud_sum"), F.count(S.LABEL).alias("labelled"), F.count_if(C.is_fraud()).alias("_fraud")
+    )
+    top = (
+        cells.groupBy("P_emaildomain").agg(F.sum("_fraud").alias("_n")).filter("_n > 0")
+        .orderBy(F.col("_n").desc(), F.col("P_emaildomain")).limit(k)
+    )
+    return cells.join(top, "P_emaildomain", "left_semi").filter(not_sentinel("card4")).drop("_fraud")
 
 
 def risk_heatmap_wide(silver: DataFrame, k: int = S.TOP_HEATMAP_DOMAINS) -> DataFrame:
     """Network x top-k domain fraud rate, one column per domain, empty cell = 0."""
-    cells, domains = _heat_cells(silver, k)
-    wide = cells.groupBy("card4").pivot("P_emaildomain", domains).agg(F.avg(S.LABEL))
-    return wide.select(
-        "card4",
-        *[F.coalesce(_q(d), F.lit(0.0)).alias(d) for d in domains if d in wide.columns],
-    )
+    long = risk_heatmap(silver, k, digits=None)
+    domains = [r[0] for r in long.select("P_emaildomain").distinct().orderBy("P_emaildomain").collect()]  # <= k values
+    wide = long.groupBy("card4").pivot("P_emaildomain", domains).agg(F.max("fraud_rate"))
+    return wide.select("card4", *[F.coalesce(_q(d), F.lit(0.0)).alias(d) for d in domains])
 
 
-def risk_heatmap(silver: DataFrame, k: int = S.TOP_HEATMAP_DOMAINS) -> DataFrame:
+def risk_heatmap(silver: DataFrame, k: int = S.TOP_HEATMAP_DOMAINS, digits: int | None = 6) -> DataFrame:
     """Dense long form of the heatmap: (card4, P_emaildomain, fraud_rate).
 
-    The grid is the pivot (one row per network, one column per domain),
-    unpivoted back; domains with no cell at all are dropped, empty cells
-    are 0, as in an unstack with fill value 0.
+    The cells (at most k per network) get the list of all their domains from a
+    window over themselves; its elements that a network lacks are 0.
     """
-    cells, domains = _heat_cells(silver, k)
-    if not domains:
-        return cells.select(
-            "card4", "P_emaildomain", F.lit(0.0).alias("fraud_rate")
-        ).filter(F.lit(False))
-    wide = cells.groupBy("card4").pivot("P_emaildomain", domains).agg(F.avg(S.LABEL))
-    long = wide.unpivot("card4", [_q(d) for d in domains], "P_emaildomain", "rate")
-    seen = F.max(F.col("rate").isNotNull().cast("int")).over(Window.partitionBy("P_emaildomain"))
-    return (
-        long.withColumn("_seen", seen)
-        .filter(F.col("_seen") == 1)
-        .select(
-            "card4",
-            "P_emaildomain",
-            F.round(F.coalesce(F.col("rate"), F.lit(0.0)), 6).alias("fraud_rate"),
-        )
+    cells = _heat_cells(silver, k)
+    every = F.collect_set("P_emaildomain").over(Window.partitionBy(F.lit(1)))
+    rate = F.map_from_entries(
+        F.collect_list(F.struct("P_emaildomain", F.try_divide("fraud_sum", "labelled")))
+    )
+    by_card = cells.withColumn("_all", every).groupBy("card4").agg(rate.alias("_rate"), F.first("_all").alias("_all"))
+    value = F.coalesce(F.try_element_at("_rate", F.col("P_emaildomain")), F.lit(0.0))
+    return by_card.select("card4", "_rate", F.explode("_all").alias("P_emaildomain")).select(
+        "card4", "P_emaildomain", (value if digits is None else F.round(value, digits)).alias("fraud_rate")
     )
 
 
@@ -199,6 +200,30 @@ def key_findings(gold_card, gold_email, gold_tier, summary) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def findings_from_rollups(rollups: DataFrame) -> DataFrame:
+    """The key findings from one ``all_rollups`` result: one more aggregate over
+    its few rows, instead of one pass per finding."""
+    r = gold.top_domains_only(rollups).withColumn("segment", gold.segment())
+    card = (F.col("gset") == "card") & (F.col("segment") != S.SENTINEL)
+    email = (F.col("gset") == "email") & (F.col("segment") != S.SENTINEL)
+    tier, overall = F.col("gset") == "tier", F.col("gset") == "overall"
+    picks = [
+        ("riskiest_card_network", card, C.title("segment"), "fraud_rate_pct", True),
+        ("safest_card_network", card, C.title("segment"), "fraud_rate_pct", False),
+        ("riskiest_email_domain", email, F.col("segment"), "fraud_rate_pct", True),
+        ("most_fraud_email_domain", email, F.col("segment"), "fraud_count", True),
+        ("riskiest_spend_range", tier, F.col("segment"), "fraud_rate_pct", True),
+    ]
+    rows = []
+    for name, cond, seg, value, highest in picks:
+        v = F.col(value).cast("double")
+        best = F.min_by(F.struct(seg.alias("segment"), v.alias("value")), F.when(cond, F.struct(-v if highest else v, seg)))
+        rows.append(F.struct(F.lit(name).alias("finding"), best["segment"].alias("segment"), best["value"].alias("value")))
+    estimated = F.max(F.when(overall, F.round(F.col("avg_fraud_amt") * F.col("fraud_n"), 2)))
+    rows.append(F.struct(F.lit("estimated_exposure").alias("finding"), F.lit(None).cast("string").alias("segment"), estimated.alias("value")))
+    return r.agg(F.array(*rows).alias("_rows")).select(F.inline("_rows"))
+
+
 def top_flagged(silver: DataFrame, k: int = S.TOP_FLAGGED) -> DataFrame:
     """Largest distinct fraud transactions, relabelled for display."""
     d = (

@@ -326,8 +326,8 @@ register(
     BASE
     + f"""
 SELECT TransactionID, TransactionAmt, lower({_title('card4')}) AS card4, lower({_title('card6')}) AS card6,
-       CASE WHEN P_emaildomain IN ('gmail.com', 'yahoo.com', 'hotmail.com', 'outlook.com', 'protonmail.com')
-            THEN lower(P_emaildomain) ELSE 'unknown' END AS P_emaildomain
+       CASE P_emaildomain WHEN 'd0.com' THEN 'gmail.com' WHEN 'd1.com' THEN 'yahoo.com' WHEN 'd2.com' THEN 'hotmail.com'
+            WHEN 'd3.com' THEN 'outlook.com' WHEN 'd4.com' THEN 'protonmail.com' ELSE 'unknown' END AS P_emaildomain
 FROM silver""",
 )
 
@@ -448,7 +448,7 @@ register(
     TXN_ONLY
     + f"""
 SELECT {BRONZE_COLS}, {TS_TEXT} FROM txn
-ORDER BY TransactionID, kafka_timestamp, TransactionAmt, card1 LIMIT 1000""",
+ORDER BY TransactionID, kafka_timestamp, TransactionAmt, card1 LIMIT 10000""",
 )
 register("csv_scan", TXN_ONLY + f"\nSELECT {BRONZE_COLS}, {TS_TEXT} FROM txn")
 register("parquet_glob_scan", TXN_ONLY + f"\nSELECT {BRONZE_COLS}, {TS_TEXT} FROM txn")

@@ -105,11 +105,7 @@ def q_gold_overall_summary(spark, sf):
 @query("gold_rollups_single_scan")
 def q_gold_rollups_single_scan(spark, sf):
     """The four rollups from one GROUPING SETS scan, in one long table."""
-    return rollups_long(
-        gold.split_rollups(
-            gold.all_rollups(silver_txn(spark, sf, "card4", "P_emaildomain", LBL, AMT))
-        )
-    )
+    return gold.rollups_long(gold.all_rollups(silver_txn(spark, sf, "card4", "P_emaildomain", LBL, AMT)))
 
 
 def rollups_long(tables: dict[str, DataFrame]) -> DataFrame:
@@ -149,14 +145,15 @@ def q_gold_incremental(spark, sf):
 
 
 # --- insights --------------------------------------------------------------
-def gold_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    s = silver_txn(spark, sf, "card4", "P_emaildomain", LBL, AMT)
-    return {
-        "card": gold.by_card_network(s),
-        "email": gold.by_email_domain(s),
-        "tier": gold.by_amount_tier(s),
-        "summary": gold.overall_summary(s),
-    }
+def gold_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """One rollup, from silver with only the columns it groups and sums."""
+    make, key = {
+        "card": (gold.by_card_network, ["card4"]),
+        "email": (gold.by_email_domain, ["P_emaildomain"]),
+        "tier": (gold.by_amount_tier, []),
+        "summary": (gold.overall_summary, []),
+    }[name]
+    return make(silver_txn(spark, sf, *key, LBL, AMT))
 
 
 @query("fraud_only")
@@ -176,7 +173,7 @@ def q_distinct_rows(spark, sf):
 
 @query("card_risk_ranked")
 def q_card_risk_ranked(spark, sf):
-    return insights.card_risk_ranked(gold_tables(spark, sf)["card"])
+    return insights.card_risk_ranked(gold_table(spark, sf, "card"))
 
 
 @query("card_type_exposure")
@@ -206,23 +203,24 @@ def q_legit_sample(spark, sf):
 
 @query("tier_status_long")
 def q_tier_status_long(spark, sf):
-    return insights.tier_status_long(gold_tables(spark, sf)["tier"])
+    return insights.tier_status_long(gold_table(spark, sf, "tier"))
 
 
 @query("email_hotspots")
 def q_email_hotspots(spark, sf):
-    return insights.email_hotspots(gold_tables(spark, sf)["email"])
+    return insights.email_hotspots(gold_table(spark, sf, "email"))
 
 
 @query("key_findings")
 def q_key_findings(spark, sf):
-    g = gold_tables(spark, sf)
-    return insights.key_findings(g["card"], g["email"], g["tier"], g["summary"])
+    return insights.findings_from_rollups(
+        gold.all_rollups(silver_txn(spark, sf, "card4", "P_emaildomain", LBL, AMT))
+    )
 
 
 @query("estimated_exposure")
 def q_estimated_exposure(spark, sf):
-    return insights.exposure(gold_tables(spark, sf)["summary"])
+    return insights.exposure(gold_table(spark, sf, "summary"))
 
 
 @query("top_flagged")
@@ -234,17 +232,22 @@ def q_top_flagged(spark, sf):
 
 @query("headline_metrics")
 def q_headline_metrics(spark, sf):
-    return insights.headline_metrics(gold_tables(spark, sf)["summary"])
+    return insights.headline_metrics(gold_table(spark, sf, "summary"))
 
 
 @query("headline_text")
 def q_headline_text(spark, sf):
-    return insights.headline_text(gold_tables(spark, sf)["summary"])
+    return insights.headline_text(gold_table(spark, sf, "summary"))
 
 
 @query("literal_requests")
 def q_literal_requests(spark, sf):
-    form = insights.request_form(silver_txn(spark, sf, AMT, "card4", "card6", "P_emaildomain"))
+    s = silver_txn(spark, sf, AMT, "card4", "card6", "P_emaildomain")
+    # the fixture's first domains stand for the form's choices
+    email = F.col("P_emaildomain")
+    for i, choice in enumerate(S.FORM_EMAILS):
+        email = F.when(F.col("P_emaildomain") == f"d{i}.com", F.lit(choice)).otherwise(email)
+    form = insights.request_form(s.withColumn("P_emaildomain", email))
     return insights.normalize_requests(form)
 
 
@@ -315,8 +318,11 @@ def q_classification_report(spark, sf):
 # --- sources and sinks ------------------------------------------------------
 @query("replay_capped_scan")
 def q_replay_capped_scan(spark, sf):
+    """The first CAPPED_ROWS rows of a CSV file set, in id order (the cap is the feature)."""
+    path = scratch_path(spark, "csv-capped")
+    tables.write_csv(txn(spark, sf), path)
     order = [S.ID, S.EVENT_TIME, S.AMOUNT, "card1"]
-    return bronze_out(tables.capped_scan(txn(spark, sf), 1000, order))
+    return bronze_out(tables.capped_scan(tables.read_csv(spark, path, S.BRONZE_SCHEMA), S.CAPPED_ROWS, order))
 
 
 @query("csv_scan")

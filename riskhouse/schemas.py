@@ -138,6 +138,8 @@ HISTOGRAM_CAP = 500.0
 HISTOGRAM_WIDTH = 10.0
 SPLIT_SEED = 42
 TRAIN_FRACTION = 0.8
+# Rows of the capped replay.
+CAPPED_ROWS = 10_000
 # --- end of fixed values ---------------------------------------------------
 
 # Model features of the fixture (see FIXTURES.md) and which are categorical.
