@@ -38,6 +38,8 @@ EPS = 0.2
 COMMON, HOT = 500_000, 20_000
 #: Shingles of a region that one task joins at most; pivots and the size of a cell that is not cut further.
 WEIGHT, PIVOTS, CELL = 1_500_000, 8, 48
+#: Members of a shingle's list up to which all of them are held against each other by size and place.
+NEAR = 24
 
 
 # --- sets -------------------------------------------------------------------------
@@ -156,7 +158,7 @@ def regions(docs: DataFrame, codes: np.ndarray, counts: np.ndarray, buckets: int
         for batch in batches:
             data, off = common.utf8(batch.column("text"))
             for lo, hi in common.row_blocks(off):
-                tokens, sids, sizes, hot, seen = [], [], [], [], set()
+                tokens, places, sids, sizes, hot, seen = [], [], [], [], [], set()
                 for s in common.shingle_sets(data, off[lo : hi + 1]):
                     if not len(s) or (sid := set_id(s)) in seen:
                         continue
@@ -166,6 +168,7 @@ def regions(docs: DataFrame, codes: np.ndarray, counts: np.ndarray, buckets: int
                     df = np.where(codes[at] == code, counts[at], 0) if len(codes) else np.zeros(len(s), np.int64)
                     pick = np.lexsort((s, df))[: prefix_size(len(s))]
                     tokens.append(s[pick])
+                    places.append(np.arange(len(pick), dtype="<u4"))
                     hot.append(df[pick] >= HOT)
                     sids.append(sid)
                     sizes.append(len(s))
@@ -173,11 +176,11 @@ def regions(docs: DataFrame, codes: np.ndarray, counts: np.ndarray, buckets: int
                     continue
                 k = [len(t) for t in tokens]
                 token, sid, n = np.concatenate(tokens), np.repeat(np.array(sids, np.int64), k), np.repeat(np.array(sizes, "<u4"), k)
-                often = np.concatenate(hot)
+                often, place = np.concatenate(hot), np.concatenate(places)
                 # a hot shingle's rows are spread over the buckets by member
                 order, cut = _deal(np.where(often, sid.view(np.uint64), token), buckets)
-                out = [(b, token[o].tobytes(), sid[o].tobytes(), n[o].tobytes(), often[o].tobytes()) for b in range(buckets) if len(o := order[cut[b] : cut[b + 1]])]
-                names = ["bucket", "token", "sid", "n", "often"]
+                out = [(b, token[o].tobytes(), sid[o].tobytes(), n[o].tobytes(), place[o].tobytes(), often[o].tobytes()) for b in range(buckets) if len(o := order[cut[b] : cut[b + 1]])]
+                names = ["bucket", "token", "sid", "n", "place", "often"]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out, strict=True)], schema=pa.schema([(c, pa.binary() if c != "bucket" else pa.int32()) for c in names]))
 
     def gather(batches):
@@ -187,29 +190,58 @@ def regions(docs: DataFrame, codes: np.ndarray, counts: np.ndarray, buckets: int
                 held.setdefault(k, []).append(blobs)
         found = []
         for blobs in held.values():
-            token, sid, n, often = (np.concatenate([np.frombuffer(b[j], kind) for b in blobs]) for j, kind in enumerate((np.uint64, np.int64, "<u4", bool)))
+            kinds = (np.uint64, np.int64, "<u4", "<u4", bool)
+            token, sid, n, place, often = (np.concatenate([np.frombuffer(b[j], kind) for b in blobs]) for j, kind in enumerate(kinds))
             found.append(np.stack([token[often].view(np.int64), sid[often], n[often].astype(np.int64)], axis=1))
-            token, sid, n = token[~often], sid[~often], n[~often]
-            order = np.lexsort((sid, token))
-            token, sid, n = token[order], sid[order], n[order]
-            new = np.append(True, token[1:] != token[:-1])[: len(token)]
-            first = np.flatnonzero(new)
-            pivot = np.repeat(sid[first], np.diff(np.append(first, len(token))))
-            other = pivot != sid
-            # the pivot belongs to its region if another member does
-            group = np.cumsum(new) - 1
-            lead = first[np.bincount(group[other], minlength=len(first)) > 0] if len(first) else first
-            found.append(np.stack([pivot[other], sid[other], n[other].astype(np.int64)], axis=1))
-            found.append(np.stack([sid[lead], sid[lead], n[lead].astype(np.int64)], axis=1))
+            kept = _partners(token[~often], sid[~often], n[~often].astype(np.int64), place[~often].astype(np.int64))
+            if len(kept):
+                found.append(kept)
         if found:
             rows = np.unique(np.concatenate(found), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in rows.T], names=["region", "sid", "n"])
 
-    sent = common.map_arrow(docs.select("text"), send, "bucket int, token binary, sid binary, n binary, often binary")
+    sent = common.map_arrow(docs.select("text"), send, "bucket int, token binary, sid binary, n binary, place binary, often binary")
     out = common.map_arrow(sent.repartition(buckets, "bucket"), gather, "region long, sid long, n long")
     return out.distinct()
 
 
+def _groups(token: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of sorted tokens: where each begins, the group of each row, and the groups' sizes."""
+    new = np.append(True, token[1:] != token[:-1])[: len(token)]
+    first = np.flatnonzero(new)
+    return first, np.cumsum(new) - 1, np.diff(np.append(first, len(token)))
+
+
+def _partners(token: np.ndarray, sid: np.ndarray, n: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Rows (pivot, sid, n) of the shingles' lists, pivot the list's smallest sid.
+
+    A member stays only if it can have a partner in the list: if a shingle is the first
+    that two members share, they share at most what follows it in either, which with their sizes
+    has to leave the similarity.  The lists are in order of size; members of lists longer than
+    NEAR stay whatever their partners are.
+    """
+    order = np.lexsort((sid, token))
+    token, sid, n, place = token[order], sid[order], n[order], place[order]
+    once = np.append(True, (token[1:] != token[:-1]) | (sid[1:] != sid[:-1]))[: len(token)]
+    order = np.flatnonzero(once)
+    order = order[np.lexsort((n[order], token[order]))]
+    token, sid, n, place = token[order], sid[order], n[order], place[order]
+    _, group, size = _groups(token)
+    stays, rest = (size > NEAR)[group], n - place
+    for step in range(1, min(NEAR, int(size.max(initial=1)))):
+        a, b = slice(0, len(n) - step), slice(step, len(n))
+        most = np.minimum(rest[a], rest[b])
+        both = n[a] + n[b]
+        ok = (group[a] == group[b]) & ((100 + SIMILARITY) * most >= SIMILARITY * both)
+        stays[a] |= ok
+        stays[b] |= ok
+    token, sid, n = token[stays], sid[stays], n[stays]
+    first, group, size = _groups(token)
+    pivot = np.minimum.reduceat(sid, first)[group] if len(first) else sid
+    many = (size > 1)[group]
+    return np.stack([pivot[many], sid[many], n[many]], axis=1)
+
+
 class Union:
     def __init__(self, n: int):
         self.up = list(range(n))
@@ -320,7 +352,7 @@ def _join_groups(rows: DataFrame) -> DataFrame:
 def _with_text(rows: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
     """rows (region, sid) with the text of each member's representative document."""
     wanted = rows.groupBy("sid").agg(F.collect_list("region").alias("regions")).join(reps, "sid")
-    texts = docs.select(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("d"), "t", "text").dropDuplicates(["d", "t"])
+    texts = docs.select(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("d"), "t", "text")  # equal rows come twice, which does no harm
     return wanted.join(texts, ["d", "t"]).select(F.explode("regions").alias("region"), "sid", "text")
 
 
