@@ -16,7 +16,7 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,40 +36,52 @@ MODEL_NAMES = {"gbt": "Gradient Boosting", "rf": "Random Forest", "lr": "Logisti
 SEED = 42
 # --- end of fixed values ----------------------------------------------------
 
-# Small settings for checks and benchmarks (full settings are a parameter).
-SMALL_SETTINGS = {
-    "gbt": {"maxIter": 10, "maxDepth": 4, "stepSize": 0.3},
-    "rf": {"numTrees": 20, "maxDepth": 6},
-    "lr": {"maxIter": 50},
-}
-MAX_BINS = 64  # above the largest category vocabulary + unseen slot
 
 
 def _classifier(kind: str, params: dict):
     common = {"featuresCol": "features", "labelCol": S.LABEL, "weightCol": "weight"}
     if kind == "gbt":
-        return GBTClassifier(seed=SEED, maxBins=MAX_BINS, **common, **params)
+        return GBTClassifier(seed=SEED, **common, **params)
     if kind == "rf":
-        return RandomForestClassifier(seed=SEED, maxBins=MAX_BINS, **common, **params)
+        return RandomForestClassifier(seed=SEED, **common, **params)
     if kind == "lr":
         return LogisticRegression(**common, **params)
     raise ValueError(f"unknown model kind {kind!r}")
 
 
 def pipeline(kind: str, params: dict | None = None) -> Pipeline:
-    params = SMALL_SETTINGS[kind] if params is None else params
+    """Encoder, plain numbers, assembler, classifier; at the reference's settings unless told otherwise.
+
+    Codes enter the models as numbers, as the reference's do: their category
+    metadata is dropped, so a vocabulary of any size needs no more tree bins.
+    """
+    params = FULL_SETTINGS[kind] if params is None else params
     enc = features.label_encoder(S.CATEGORICAL)
+    plain = ", ".join(f"{c}_ix + 0D AS {c}_code" for c in S.CATEGORICAL)
     asm = VectorAssembler(
-        inputCols=S.NUMERIC_FEATURES + [c + "_ix" for c in S.CATEGORICAL],
+        inputCols=S.NUMERIC_FEATURES + [c + "_code" for c in S.CATEGORICAL],
         outputCol="features",
         handleInvalid="keep",
     )
-    return Pipeline(stages=[enc, asm, _classifier(kind, params)])
+    return Pipeline(stages=[enc, SQLTransformer(statement=f"SELECT *, {plain} FROM __THIS__"), asm, _classifier(kind, params)])
 
 
 def model_frame(raw: DataFrame) -> DataFrame:
-    """Raw (unfilled) features -> model input: 'nan' categories, -999 numbers."""
-    return features.impute(raw.select(S.ID, *S.FEATURES, S.LABEL))
+    """Raw (unfilled) features -> model input: 'nan' categories, -999 numbers.
+
+    The label is taken along if there is one; scoring does not need it."""
+    label = [S.LABEL] if S.LABEL in raw.columns else []
+    return features.impute(raw.select(S.ID, *S.FEATURES, *label))
+
+
+def request_frame(requests: DataFrame) -> DataFrame:
+    """Scoring requests -> model input: features that a request lacks take the form's constants.
+
+    ``requests`` has an id and any of the features; a feature it has may still be
+    null, which is a missing value and not an absent field.
+    """
+    absent = {c: F.lit(S.REQUEST_DEFAULTS[c]) for c in S.FEATURES if c not in requests.columns}
+    return model_frame(requests.withColumns(absent) if absent else requests)
 
 
 def split(frame: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -117,8 +129,13 @@ def compare(spark: SparkSession, aucs: dict[str, float]) -> DataFrame:
     """(model, auc, is_best) for the compared models (one row per model)."""
     rows = [(MODEL_NAMES.get(k, k), float(v)) for k, v in aucs.items()]
     df = spark.createDataFrame(rows, "model string, auc double")
-    best = F.max("auc").over(Window.partitionBy())  # over the few model rows only
-    return df.withColumn("is_best", F.col("auc") == best)
+    return mark_best(df)
+
+
+def mark_best(table: DataFrame) -> DataFrame:
+    """``is_best`` on one row: the highest AUC, ties to the first name."""
+    place = F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(F.desc("auc"), "model"))  # the few model rows
+    return table.withColumn("is_best", place == 1)
 
 
 def report(model: PipelineModel, test: DataFrame) -> DataFrame:
@@ -142,12 +159,11 @@ def train_and_select(
         save(m, path)
         rows.append((MODEL_NAMES[k], k, float(auc_of(m, test)), path))
     df = spark.createDataFrame(rows, "model string, kind string, auc double, path string")
-    best = F.max("auc").over(Window.partitionBy())  # over the few model rows only
-    return df.withColumn("is_best", F.col("auc") == best)
+    return mark_best(df)
 
 
 def best_model(metrics_table: DataFrame) -> PipelineModel:
-    """Load the model the metrics table marks as best (ties: by name)."""
+    """Load the model the metrics table marks as best."""
     row = metrics_table.filter("is_best").orderBy("model").select("path").first()
     if row is None:
         raise ValueError("no model in the metrics table")

@@ -75,6 +75,32 @@ def clean(deduped: DataFrame) -> DataFrame:
 HASHED = [S.ID, S.AMOUNT, "TransactionDT"]
 
 
+_PAYLOAD = [f for f in S.BRONZE_SCHEMA.fields if f.name != S.ID]
+
+
+def survivors_of(deduped: DataFrame) -> DataFrame:
+    """Silver rows with what their fills hide: the id as delivered, and bits for
+    the fields that were null (even) or NaN (odd), so later copies can be compared."""
+    bits = F.lit(0).cast("long")
+    for k, f in enumerate(_PAYLOAD):
+        bits = bits + F.when(F.col(f.name).isNull(), F.lit(1 << 2 * k)).otherwise(0)
+        if f.dataType == S.D:
+            bits = bits + F.when(F.isnan(f.name), F.lit(2 << 2 * k)).otherwise(0)
+    good, _ = split_quarantine(deduped.withColumns({"raw_id": F.col(S.ID), "nulls": bits}))
+    return with_label_and_hash(fill_defaults(good)).select(*S.SILVER_COLUMNS, "raw_id", "nulls")
+
+
+def raw_order(survivors: DataFrame):
+    """The order of ``deduplicate`` over the fields as they were delivered."""
+    raw = {}
+    for k, f in enumerate(_PAYLOAD):
+        was = F.col("nulls").bitwiseAND(F.lit(3 << 2 * k))
+        kept = F.when(was == 0, F.col(f.name))
+        raw[f.name] = kept.when(was == 2 << 2 * k, F.lit(float("nan"))) if f.dataType == S.D else kept
+    fields = SURVIVOR_ORDER + [f.name for f in _PAYLOAD if f.name not in SURVIVOR_ORDER]
+    return F.struct(*[raw[c].alias(c) for c in fields])
+
+
 def to_silver(bronze: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """The whole bronze -> silver transformation, in declared column order.
 
@@ -100,13 +126,13 @@ def to_silver(bronze: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def quarantine(bronze: DataFrame) -> DataFrame:
-    """Deduplicated rows that cannot enter silver (no usable id)."""
-    _, bad = split_quarantine(deduplicate(bronze))
+    """Every row that cannot enter silver (no usable id), before any dedup."""
+    _, bad = split_quarantine(bronze)
     return bad
 
 
 def quality_counts(bronze: DataFrame) -> DataFrame:
-    """bronze_rows, silver_rows, fraud_rows, legit_rows, quarantined_rows in one pass."""
+    """bronze_rows, silver_rows, fraud_rows, legit_rows, quarantined_rows (messages) in one pass."""
     d = deduplicate(bronze, [S.LABEL], with_copies=True).withColumn("_id", F.col(S.ID).try_cast("int"))
     ok = F.col("_id").isNotNull()
     return d.agg(
@@ -114,10 +140,5 @@ def quality_counts(bronze: DataFrame) -> DataFrame:
         F.count_if(ok).alias("silver_rows"),
         F.count_if(ok & C.is_fraud()).alias("fraud_rows"),
         F.count_if(ok & ~F.coalesce(C.is_fraud(), F.lit(False))).alias("legit_rows"),
-        F.count_if(~ok).alias("quarantined_rows"),
+        F.coalesce(F.sum(F.when(~ok, F.col("copies"))), F.lit(0)).cast("long").alias("quarantined_rows"),
     )
-
-
-def new_rows_only(batch: DataFrame, existing: DataFrame) -> DataFrame:
-    """Rows of ``batch`` whose id is not yet in ``existing`` (idempotent append)."""
-    return batch.join(existing.select(S.ID), on=S.ID, how="left_anti")

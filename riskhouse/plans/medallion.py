@@ -1,10 +1,9 @@
 """The pipeline's jobs: replay -> bronze (stream) -> silver -> gold -> reports.
 
 Each job reads tables and writes tables in a ``Lake`` (a root folder in
-the shared storage); nothing passes through the driver except observed
-counts.  Silver is built in one pass over bronze: counts are collected
-with ``observe`` during the write instead of extra count jobs.  Gold is one
-scan of silver (GROUPING SETS), checkpointed once, split into four tables.
+the shared storage); nothing passes through the driver except counts.
+Silver and gold follow bronze incrementally (``plans.incremental``); gold is
+summed from partial sums, or rebuilt by one scan of silver (GROUPING SETS).
 
 Run as ``python -m riskhouse.plans.medallion <job> --lake DIR [...]``.
 """
@@ -14,14 +13,14 @@ from __future__ import annotations
 import argparse
 import json
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskhouse import schemas as S
-from riskhouse.functions import columns as C
 from riskhouse.operators import features, gold, insights, models, silver
 from riskhouse.session import checkpointed
 from riskhouse.sources import messages
+from riskhouse.plans import incremental as inc
 from riskhouse.sources.tables import Lake
 from riskhouse.streaming import ingest
 
@@ -37,35 +36,21 @@ def ingest_bronze(spark: SparkSession, landing: str, lake: Lake, checkpoint: str
                   fmt: str = "files", kafka_servers: str | None = None,
                   available_now: bool = True, max_per_trigger: int | None = None):
     """Bronze consumer: parse messages and append them, resuming from the checkpoint."""
-    lake.create_if_absent("bronze_transactions")
-    q = ingest.start_bronze(
-        spark, landing, lake.path("bronze_transactions"), checkpoint, fmt, kafka_servers,
-        available_now, max_per_trigger,
-    )
+    q = ingest.start_bronze(lake, landing, checkpoint, fmt, kafka_servers, available_now, max_per_trigger)
     return ingest.run(q) if available_now else q
 
 
 def build_silver(lake: Lake, incremental: bool = True) -> dict:
-    """Bronze -> silver.  Incremental: append only ids not yet in silver, so a
-    re-run is a no-op, and append the new rows' gold partials; otherwise
-    replace silver and the partials.  Returns observed counts."""
-    bronze = lake.read("bronze_transactions")
-    ob = Observation("bronze")
-    os_ = Observation("silver")
-    bronze = bronze.observe(ob, F.count(F.lit(1)).alias("bronze_rows"))
-    s = silver.to_silver(bronze).observe(
-        os_,
-        F.count(F.lit(1)).alias("silver_rows"),
-        F.count_if(C.is_fraud()).alias("fraud_rows"),
-        F.count_if(F.col(S.LABEL) == 0.0).alias("legit_rows"),
-    )
-    if incremental:
-        new = lake.append_new_ids("silver_transactions", s, keep=True)
-        lake.append("gold_partials", gold.partials(new))
-    else:
-        lake.replace("silver_transactions", s)
-        lake.replace("gold_partials", gold.partials(lake.read("silver_transactions")))
-    return {**ob.get, **os_.get}
+    """Bronze -> silver and gold partials.  Incremental: the bronze files not yet
+    seen are merged, and a re-run is a no-op; otherwise all of bronze replaces
+    them.  Both give the same silver.  Returns counts: new bronze rows,
+    changes in silver's rows, and quarantined messages."""
+    if not incremental:
+        return inc.rebuild(lake)
+    done: list[dict] = []
+    ingest.run(inc.start_silver(lake, done=done))
+    keys = ["bronze_rows", "silver_rows", "fraud_rows", "legit_rows", "quarantined_rows"]
+    return {k: sum(d[k] for d in done) for k in keys}
 
 
 def build_gold(lake: Lake, from_partials: bool = True) -> None:
@@ -101,14 +86,16 @@ def read_model_metrics(lake: Lake) -> DataFrame:
 
 def score(lake: Lake, transactions: DataFrame) -> DataFrame:
     """Score transactions (bronze-shaped rows, batch or stream) with the best
-    saved model: id, score, percentage and verdict."""
+    saved model: id, score, percentage and verdict.  Transactions need no label,
+    and may lack features, which take the form's constants."""
     model = models.best_model(read_model_metrics(lake))
-    scored = models.verdict(models.score(model, models.model_frame(transactions)))
+    scored = models.verdict(models.score(model, models.request_frame(transactions)))
     return scored.select(S.ID, "score", "pct", "verdict")
 
 
 def quarantined(lake: Lake) -> DataFrame:
-    return silver.quarantine(lake.read("bronze_transactions"))
+    """Messages that the committed silver batches left out, every one of them."""
+    return lake.read("silver_quarantine")
 
 
 def reports(lake: Lake) -> dict[str, DataFrame]:
@@ -171,7 +158,7 @@ def main(argv: list[str] | None = None) -> int:
     elif a.job == "gold":
         build_gold(lake, from_partials=not a.full)
     elif a.job == "train":
-        train(lake, settings=models.FULL_SETTINGS).show(truncate=False)
+        train(lake).show(truncate=False)
     elif a.job == "score":
         src = spark.read.schema(S.BRONZE_SCHEMA).parquet(a.source)
         score(lake, src).write.mode("errorifexists").parquet(a.out)

@@ -177,7 +177,7 @@ SELECT (SELECT count(*) FROM txn) AS bronze_rows,
        count(*) FILTER (WHERE TRY_CAST(TransactionID AS INTEGER) IS NOT NULL AND isFraud = 1) AS fraud_rows,
        count(*) FILTER (WHERE TRY_CAST(TransactionID AS INTEGER) IS NOT NULL
                         AND coalesce(isFraud = 1, false) = false) AS legit_rows,
-       count(*) FILTER (WHERE TRY_CAST(TransactionID AS INTEGER) IS NULL) AS quarantined_rows
+       (SELECT count(*) FROM txn WHERE TRY_CAST(TransactionID AS INTEGER) IS NULL) AS quarantined_rows
 FROM dedup""",
 )
 
@@ -399,7 +399,7 @@ SCORED = (
     BASE
     + """,
 scored AS (
-  SELECT isFraud, D1 / 10.0 + CASE WHEN ProductCD = 'R' THEN 0.1 ELSE 0.0 END AS score FROM silver
+  SELECT TransactionID, TransactionAmt, card1, isFraud, D1 / 10.0 + CASE WHEN ProductCD = 'R' THEN 0.1 ELSE 0.0 END AS score FROM silver
 ),
 pred AS (SELECT isFraud, CASE WHEN score > 0.5 THEN 1.0 ELSE 0.0 END AS prediction FROM scored)"""
 )
@@ -480,12 +480,7 @@ SELECT {BRONZE_COLS}, {TS_TEXT} FROM ev""",
 )
 register("stream_bronze_restart", EV_ONLY + f"\nSELECT {BRONZE_COLS}, {TS_TEXT} FROM ev")
 EV_SILVER = "WITH " + EV + "," + dedup_cte("ev", "ev_dedup") + "," + silver_cte("ev_dedup", "ev_silver")
-register(
-    "stream_silver",
-    EV_SILVER
-    + f"""
-SELECT {BRONZE_COLS}, risk_label, row_hash, {TS_TEXT} FROM ev_silver""",
-)
+register("stream_silver", BASE + f"\nSELECT {BRONZE_COLS}, risk_label, row_hash, {TS_TEXT} FROM silver")
 register(
     "exposure_trend",
     EV_SILVER
@@ -499,3 +494,70 @@ SELECT strftime(d, '%Y-%m-%d') AS day, exposure, round(exposure - lag(exposure)
 FROM d""",
 )
 register("gold_incremental", ORACLE["gold_rollups_single_scan"])
+register(
+    "silver_quarantine",
+    TXN_ONLY.rstrip()
+    + f""",
+bad AS (
+  SELECT * REPLACE (CASE CAST(C2 AS BIGINT) % 25 WHEN 0 THEN NULL WHEN 1 THEN TransactionID + 3e9 ELSE TransactionID END AS TransactionID) FROM txn
+)
+SELECT {BRONZE_COLS}, {TS_TEXT} FROM (SELECT * FROM bad UNION ALL SELECT * FROM bad)
+WHERE TRY_CAST(TransactionID AS INTEGER) IS NULL""",
+)
+
+
+def _auc(name: str, expr: str) -> str:
+    """CTEs that end in ``auc_<name>``: the rounded AUC of a score expression over ``scored``."""
+    return f""",
+st_{name} AS (SELECT {expr} AS s, count_if(isFraud = 1) AS pos, count_if(isFraud = 0) AS neg FROM scored GROUP BY 1),
+cum_{name} AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM st_{name}),
+auc_{name} AS (SELECT round(sum(pos * (below + 0.5 * neg)) / (sum(pos) * sum(neg)), 6) AS auc FROM cum_{name})"""
+
+
+register(
+    "comparison_fixed_scores",
+    SCORED
+    + _auc("amount", "TransactionAmt")
+    + _auc("card", "card1")
+    + _auc("fixed", "score")
+    + """,
+compared AS (
+  SELECT 'amount' AS model, auc FROM auc_amount UNION ALL SELECT 'card', auc FROM auc_card UNION ALL SELECT 'fixed', auc FROM auc_fixed
+)
+SELECT model, auc, row_number() OVER (ORDER BY auc DESC, model) = 1 AS is_best FROM compared""",
+)
+register("metrics_roundtrip", ORACLE["comparison_fixed_scores"])
+register(
+    "headline_detection",
+    f"""SELECT h.*, round(a.auc * 100, 2) AS detection_pct
+FROM ({ORACLE["headline_metrics"]}) h, ({ORACLE["roc_auc"]}) a""",
+)
+register(
+    "verdict_fixed_score",
+    SCORED
+    + """
+SELECT TransactionID, round(score, 6) AS score, round(score * 100, 1) AS pct,
+       CASE WHEN score > 0.5 THEN 'HIGH RISK — DO NOT APPROVE' ELSE 'LOW RISK — SAFE TO APPROVE' END AS verdict
+FROM scored""",
+)
+register(
+    "request_features",
+    f"""SELECT TransactionID, TransactionAmt, 'C' AS ProductCD, CAST(9000 AS DOUBLE) AS card1, CAST(300 AS DOUBLE) AS card2, card4, card6, P_emaildomain,
+  CAST(1 AS DOUBLE) AS C1, CAST(1 AS DOUBLE) AS C2, CAST(10 AS DOUBLE) AS D1
+FROM ({ORACLE["literal_requests"]})""",
+)
+register(
+    "assembled_features",
+    RAW
+    + """
+SELECT TransactionID, TransactionAmt, card1, card2, C1, C2, D1,
+       CAST(dense_rank() OVER (ORDER BY ProductCD) - 1 AS DOUBLE) AS ProductCD_code,
+       CAST(dense_rank() OVER (ORDER BY card4) - 1 AS DOUBLE) AS card4_code,
+       CAST(dense_rank() OVER (ORDER BY card6) - 1 AS DOUBLE) AS card6_code,
+       CAST(dense_rank() OVER (ORDER BY P_emaildomain) - 1 AS DOUBLE) AS P_emaildomain_code
+FROM imputed""",
+)
+register(
+    "saved_model_scores",
+    RAW + "\nSELECT count(*) AS rows_scored, CAST(0 AS BIGINT) AS rows_changed, CAST(0 AS BIGINT) AS rows_outside FROM raw",
+)

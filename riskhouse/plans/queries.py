@@ -8,12 +8,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskhouse import schemas as S
 from riskhouse.operators import features, gold, insights, metrics, models, silver
 from riskhouse.session import checkpointed, scratch_path
+from riskhouse.plans import incremental
 from riskhouse.sources import fixtures, messages, tables
 from riskhouse.streaming import ingest
 
@@ -129,21 +132,41 @@ def rollups_long(tables: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+def deliveries(bronze: DataFrame) -> list[DataFrame]:
+    """Out of order and with different copies of the same ids: the newer part, the older part, then everything again."""
+    cut = F.lit("1996-01-01").cast("timestamp")
+    newer = F.col(S.EVENT_TIME) >= cut
+    return [bronze.filter(newer), bronze.filter(~newer), bronze]
+
+
 @query("gold_incremental")
 def q_gold_incremental(spark, sf):
-    """Bronze delivered twice (a full redelivery); silver appended
-    incrementally after each delivery; gold finalised from the partial sums."""
+    """Bronze delivered out of order; silver and partials merged after each
+    delivery; gold finalised from the partial sums."""
     from riskhouse.plans import medallion
 
     lake = tables.Lake.fresh(spark)
-    bronze = txn(spark, sf)
-    for _ in range(2):
-        lake.append("bronze_transactions", bronze)
+    for part in deliveries(txn(spark, sf)):
+        lake.append("bronze_transactions", part)
         medallion.build_silver(lake)
     medallion.build_gold(lake, from_partials=True)
     return rollups_long({n: lake.read(n) for n in S.TABLES if n.startswith("gold_") and n != "gold_partials"})
 
 
+@query("silver_quarantine")
+def q_silver_quarantine(spark, sf):
+    """Messages without a usable id (missing, or beyond INT), all of them, after two merged deliveries."""
+    from riskhouse.plans import medallion
+
+    k = F.pmod(F.col("C2").cast("long"), F.lit(25))
+    bad = F.when(k == 0, F.lit(None)).when(k == 1, F.col(S.ID) + 3e9).otherwise(F.col(S.ID))
+    lake = tables.Lake.fresh(spark)
+    for _ in range(2):
+        lake.append("bronze_transactions", txn(spark, sf).withColumn(S.ID, bad))
+        medallion.build_silver(lake)
+    return bronze_out(medallion.quarantined(lake))
+
+
 # --- insights --------------------------------------------------------------
 def gold_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """One rollup, from silver with only the columns it groups and sums."""
@@ -276,7 +299,7 @@ def q_feature_impute(spark, sf):
 
 @query("label_encode")
 def q_label_encode(spark, sf):
-    df = features.impute(raw_features(spark, sf))
+    df = checkpointed(features.impute(raw_features(spark, sf)))  # fit and transform read it once each
     cols = ["card4", "card6", "P_emaildomain"]
     enc = features.fit_encoder(df, cols).transform(df)
     return enc.select(
@@ -361,9 +384,8 @@ def q_gold_overwrite(spark, sf):
 @query("silver_append_idempotent")
 def q_silver_append_idempotent(spark, sf):
     lake = tables.Lake.fresh(spark)
-    s = silver_txn(spark, sf)
-    lake.append_new_ids("silver_transactions", s)
-    lake.append_new_ids("silver_transactions", s)  # a re-run adds nothing
+    for name in ("a", "a", "b"):  # a repeated batch, then a redelivery: both add nothing
+        incremental.merge_batch(lake, txn(spark, sf), name)
     return lake.read("silver_transactions").agg(
         F.count(F.lit(1)).alias("total_rows"), F.count_distinct(S.ID).alias("distinct_ids")
     )
@@ -381,36 +403,35 @@ def _landing(spark, sf, redeliver: bool) -> str:
     return landing
 
 
-def _bronze(spark, landing: str, runs: int = 1) -> str:
-    bronze = scratch_path(spark, "bronze")
+def _bronze(spark, landing: str, runs: int = 1) -> tables.Lake:
+    lake = tables.Lake.fresh(spark)
     ckpt = scratch_path(spark, "ckpt-bronze")
     for _ in range(runs):
-        ingest.run(ingest.start_bronze(spark, landing, bronze, ckpt))
-    return bronze
+        ingest.run(ingest.start_bronze(lake, landing, ckpt))
+    return lake
 
 
 @query("stream_bronze")
 def q_stream_bronze(spark, sf):
-    bronze = _bronze(spark, _landing(spark, sf, redeliver=True))
-    return bronze_out(spark.read.schema(S.BRONZE_SCHEMA).parquet(bronze))
+    return bronze_out(_bronze(spark, _landing(spark, sf, redeliver=True)).read("bronze_transactions"))
 
 
 @query("stream_bronze_restart")
 def q_stream_bronze_restart(spark, sf):
-    bronze = _bronze(spark, _landing(spark, sf, redeliver=False), runs=2)
-    return bronze_out(spark.read.schema(S.BRONZE_SCHEMA).parquet(bronze))
-
-
-def stream_silver_path(spark, sf) -> str:
-    bronze = _bronze(spark, _landing(spark, sf, redeliver=True))
-    out = scratch_path(spark, "silver")
-    ingest.run(ingest.start_silver(spark, bronze, out, scratch_path(spark, "ckpt-silver")))
-    return out
+    return bronze_out(_bronze(spark, _landing(spark, sf, redeliver=False), runs=2).read("bronze_transactions"))
 
 
 @query("stream_silver")
 def q_stream_silver(spark, sf):
-    s = spark.read.schema(S.SILVER_SCHEMA).parquet(stream_silver_path(spark, sf))
+    """Messages with different copies of the same ids, the newest first and the
+    older ones years late, streamed to bronze and on to silver in several micro-batches."""
+    landing, ckpt = scratch_path(spark, "landing"), scratch_path(spark, "ckpt-bronze")
+    lake = tables.Lake.fresh(spark)
+    for part in deliveries(txn(spark, sf)):
+        messages.publish(messages.to_messages(part), landing)
+        ingest.run(ingest.start_bronze(lake, landing, ckpt))
+        ingest.run(incremental.start_silver(lake))
+    s = lake.read("silver_transactions")
     return s.select(*[c for c in S.SILVER_COLUMNS if c != S.EVENT_TIME], kafka_ts_text())
 
 
@@ -420,7 +441,7 @@ def q_exposure_trend(spark, sf):
     return insights.daily_exposure(silver.to_silver(ev, [LBL, AMT, S.EVENT_TIME]))
 
 
-# --- models (rows-only checks: no SQL oracle for a fitted model) -----------
+# --- models ------------------------------------------------------------------
 def model_data(spark, sf) -> tuple[DataFrame, DataFrame]:
     """Train / test parts of the deduplicated, imputed features.  The split
     is checkpointed to the shared folder: model fitting passes over the
@@ -430,12 +451,30 @@ def model_data(spark, sf) -> tuple[DataFrame, DataFrame]:
     return s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
 
 
+_fitted: dict[tuple, tuple[str, DataFrame]] = {}
+
+
+def fitted(spark, sf, kind: str) -> tuple[str, DataFrame]:
+    """Path of the model of one kind, fitted at the reference's settings, and
+    the test part.  The queries of one session share a fit: the path of a saved
+    model is all that is kept."""
+    key = (spark.sparkContext.applicationId, sf, kind)
+    if key not in _fitted:
+        data = _fitted.get(key[:2]) or model_data(spark, sf)
+        _fitted[key[:2]] = data
+        path = scratch_path(spark, f"model-{kind}")
+        models.save(models.fit(kind, data[0]), path)
+        _fitted[key] = (path, data[1])
+    return _fitted[key]
+
+
+def held_out_auc(spark, sf, kind: str) -> DataFrame:
+    path, test = fitted(spark, sf, kind)
+    return metrics.roc_auc(models.score(models.load(path), test), digits=4)
+
+
 def _trained_auc(spark, sf, kind: str) -> DataFrame:
-    train, test = model_data(spark, sf)
-    m = models.fit(kind, train)
-    return metrics.roc_auc(models.score(m, test), digits=4).select(
-        F.lit(models.MODEL_NAMES[kind]).alias("model"), "auc"
-    )
+    return held_out_auc(spark, sf, kind).select(F.lit(models.MODEL_NAMES[kind]).alias("model"), "auc")
 
 
 @query("train_gbt")
@@ -454,8 +493,7 @@ def q_train_lr(spark, sf):
 
 
 def comparison(spark, sf) -> DataFrame:
-    train, test = model_data(spark, sf)
-    aucs = {k: models.auc_of(models.fit(k, train), test) for k in ("gbt", "rf", "lr")}
+    aucs = {k: held_out_auc(spark, sf, k).first()["auc"] for k in ("gbt", "rf", "lr")}
     return models.compare(spark, aucs)
 
 
@@ -464,43 +502,99 @@ def q_model_comparison(spark, sf):
     return comparison(spark, sf)
 
 
+FIXED_SCORES = {"amount": AMT, "card": "card1", "fixed": "score"}
+
+
+def fixed_comparison(spark, sf) -> DataFrame:
+    """The comparison table over three fixed scoring expressions instead of models."""
+    scored = checkpointed(fixed_score(silver_txn(spark, sf, LBL, AMT, "card1", "D1", "ProductCD")))
+    aucs = {k: metrics.roc_auc(scored, score=e).first()["auc"] for k, e in FIXED_SCORES.items()}
+    return models.compare(spark, aucs)
+
+
+@query("comparison_fixed_scores")
+def q_comparison_fixed_scores(spark, sf):
+    return fixed_comparison(spark, sf)
+
+
 @query("metrics_roundtrip")
 def q_metrics_roundtrip(spark, sf):
+    """The comparison document written as JSON and read again."""
     path = scratch_path(spark, "model-metrics")
-    comparison(spark, sf).write.json(path)
+    fixed_comparison(spark, sf).write.json(path)
     return spark.read.schema("model string, auc double, is_best boolean").json(path)
 
 
-def saved_model(spark, sf) -> tuple[str, DataFrame]:
-    """Fit the boosted-trees pipeline, save it; return its path and the test part."""
-    train, test = model_data(spark, sf)
-    path = scratch_path(spark, "model")
-    models.save(models.fit("gbt", train), path)
-    return path, test
+@query("headline_detection")
+def q_headline_detection(spark, sf):
+    """The headline strip with the best score's AUC as its detection figure."""
+    auc = metrics.roc_auc(fixed_score(silver_txn(spark, sf, LBL, "D1", "ProductCD")))
+    return insights.headline_with_detection(gold_table(spark, sf, "summary"), auc)
+
+
+@query("verdict_fixed_score")
+def q_verdict_fixed_score(spark, sf):
+    """Threshold, percentage and verdict text of the fixed score."""
+    scored = models.verdict(fixed_score(silver_txn(spark, sf, "D1", "ProductCD")))
+    return scored.select(S.ID, F.round("score", 6).alias("score"), "pct", "verdict")
+
+
+@query("request_features")
+def q_request_features(spark, sf):
+    """Form requests normalised, with the form's constants for the fields they lack."""
+    return models.request_frame(q_literal_requests(spark, sf)).select(S.ID, *S.FEATURES)
+
+
+@query("assembled_features")
+def q_assembled_features(spark, sf):
+    """The assembled model vector as an array column, with the codes as numbers."""
+    frame = checkpointed(models.model_frame(raw_features(spark, sf)))
+    stages = models.pipeline("lr").getStages()[:-1]
+    out = Pipeline(stages=stages).fit(frame).transform(frame)
+    v = vector_to_array("features")
+    names = S.NUMERIC_FEATURES + [c + "_code" for c in S.CATEGORICAL]
+    return out.select(S.ID, *[v[i].alias(n) for i, n in enumerate(names)])
+
+
+@query("saved_model_scores")
+def q_saved_model_scores(spark, sf):
+    """Rows scored, rows whose score changes when the model is saved and loaded again, scores outside [0, 1]."""
+    path, _ = fitted(spark, sf, "gbt")
+    frame = models.model_frame(raw_features(spark, sf))
+    model, again = models.load(path), scratch_path(spark, "model-again")
+    models.save(model, again)
+    a = models.score(model, frame).select(S.ID, F.col("score").alias("a"))
+    both = models.score(models.load(again), a.join(frame, S.ID)).select("a", "score")
+    return both.agg(
+        F.count(F.lit(1)).alias("rows_scored"),
+        F.count_if(F.col("a") != F.col("score")).alias("rows_changed"),
+        F.count_if(~F.col("score").between(0, 1)).alias("rows_outside"),
+    )
+
+
+def _all_scored(spark, sf) -> DataFrame:
+    """Every transaction, scored without its label by the saved boosted-trees pipeline."""
+    path, _ = fitted(spark, sf, "gbt")
+    return models.verdict(models.score(models.load(path), models.request_frame(raw_features(spark, sf).drop(LBL))))
 
 
 @query("score_batch")
 def q_score_batch(spark, sf):
-    path, test = saved_model(spark, sf)
-    scored = models.score(models.load(path), test)
-    return scored.select(S.ID, F.round("score", 6).alias("score"))
+    return _all_scored(spark, sf).select(S.ID, F.round("score", 6).alias("score"))
 
 
 @query("score_verdict")
 def q_score_verdict(spark, sf):
-    path, test = saved_model(spark, sf)
-    scored = models.verdict(models.score(models.load(path), test))
-    return scored.select(S.ID, F.round("score", 6).alias("score"), "pct", "verdict")
+    return _all_scored(spark, sf).select(S.ID, F.round("score", 6).alias("score"), "pct", "verdict")
 
 
 @query("stream_score")
 def q_stream_score(spark, sf):
-    """Arriving event messages scored by the saved pipeline as they stream in."""
-    path, _ = saved_model(spark, sf)
-    model = models.load(path)
+    """Arriving event messages, without labels, scored by the saved pipeline as they stream in."""
+    model = models.load(fitted(spark, sf, "gbt")[0])
     landing = _landing(spark, sf, redeliver=False)
-    parsed = messages.parse_messages(ingest.message_stream(spark, landing))
-    scored = models.score(model, models.model_frame(parsed))
+    parsed = messages.parse_messages(ingest.message_stream(spark, landing)).drop(LBL)
+    scored = models.score(model, models.request_frame(parsed))
     out = scratch_path(spark, "scores")
     q = (
         scored.select(S.ID, F.round("score", 6).alias("score"))

@@ -7,6 +7,7 @@ inferred at read time.  Writes resolve columns by name against these.
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    BooleanType,
     DoubleType,
     IntegerType,
     LongType,
@@ -98,6 +99,11 @@ GOLD_PARTIALS_SCHEMA = StructType(
        StructField("fraud_amt_sum", D), StructField("fraud_amt_n", L)]
 )
 
+# Internal: which survivor (id, batch) a later batch replaces, and the committed batches.
+SURVIVORS_SCHEMA = StructType(SILVER_SCHEMA.fields + [StructField("raw_id", D), StructField("nulls", L)])
+SUPERSEDED_SCHEMA = StructType([StructField("raw_id", D), StructField("of_batch", S)])
+COMMITS_SCHEMA = StructType([StructField("batch", S), StructField("reset", BooleanType()), StructField("seq", L)])
+
 TABLES: dict[str, StructType] = {
     "bronze_transactions": BRONZE_SCHEMA,
     "silver_transactions": SILVER_SCHEMA,
@@ -106,7 +112,13 @@ TABLES: dict[str, StructType] = {
     "gold_fraud_by_amount_tier": GOLD_TIER_SCHEMA,
     "gold_overall_summary": GOLD_SUMMARY_SCHEMA,
     "gold_partials": GOLD_PARTIALS_SCHEMA,
+    "silver_survivors": SURVIVORS_SCHEMA,
+    "silver_superseded": SUPERSEDED_SCHEMA,
+    "silver_quarantine": BRONZE_SCHEMA,
+    "silver_commits": COMMITS_SCHEMA,
 }
+# Tables of named batches of which only committed ones are read.
+COMMITTED = ["silver_survivors", "silver_superseded", "silver_quarantine", "gold_partials"]
 
 # --- fixed values (must equal the reference's for identical results) -------
 # Defaults for missing text fields in silver, and the sentinel text the
@@ -138,6 +150,19 @@ HISTOGRAM_CAP = 500.0
 HISTOGRAM_WIDTH = 10.0
 SPLIT_SEED = 42
 TRAIN_FRACTION = 0.8
+# What the scoring form fills in for fields that a request lacks.
+REQUEST_DEFAULTS = {
+    "TransactionAmt": 250.0,
+    "ProductCD": "C",
+    "card1": 9000.0,
+    "card2": 300.0,
+    "card4": "unknown",
+    "card6": "unknown",
+    "P_emaildomain": "unknown",
+    "C1": 1.0,
+    "C2": 1.0,
+    "D1": 10.0,
+}
 # Rows of the capped replay.
 CAPPED_ROWS = 10_000
 # --- end of fixed values ---------------------------------------------------

@@ -9,6 +9,13 @@ from riskhouse.session import checkpointed, scratch_path
 from riskhouse.sources import fixtures
 from tests.conftest import MEDIUM
 
+# Small settings where a test is about the pipeline and not the model; queries and jobs run the full ones.
+QUICK = {
+    "gbt": {"maxIter": 10, "maxDepth": 4, "stepSize": 0.3},
+    "rf": {"numTrees": 20, "maxDepth": 6},
+    "lr": {"maxIter": 50},
+}
+
 
 @pytest.fixture(scope="module")
 def parts(spark):
@@ -20,13 +27,13 @@ def parts(spark):
 @pytest.mark.parametrize("kind", ["gbt", "rf", "lr"])
 def test_models_beat_chance(parts, kind):
     train, test = parts
-    m = models.fit(kind, train)
+    m = models.fit(kind, train, QUICK[kind])
     assert models.auc_of(m, test) > 0.6
 
 
 def test_save_load_same_scores_and_verdict(spark, parts):
     train, test = parts
-    m = models.fit("gbt", train)
+    m = models.fit("gbt", train, QUICK["gbt"])
     path = scratch_path(spark, "model")
     models.save(m, path)
     a = models.score(m, test).select(S.ID, "score")
@@ -36,12 +43,12 @@ def test_save_load_same_scores_and_verdict(spark, parts):
     for r in v:
         assert r.verdict == (S.VERDICT_HIGH if r.score > 0.5 else S.VERDICT_LOW)
         assert r.pct == round(r.score * 100, 1) or abs(r.pct - r.score * 100) <= 0.05 + 1e-9
-    assert len(models.boosting_progress(m, test)) == models.SMALL_SETTINGS["gbt"]["maxIter"]
+    assert len(models.boosting_progress(m, test)) == QUICK["gbt"]["maxIter"]
 
 
 def test_unseen_categories_score(spark, parts):
     train, _ = parts
-    m = models.fit("lr", train)
+    m = models.fit("lr", train, QUICK["lr"])
     ev = fixtures.event_transactions(spark, "/root/testdata/sf0.001")
     scored = models.score(m, models.model_frame(ev))
     assert scored.filter(F.col("score").isNull()).count() == 0
@@ -56,3 +63,26 @@ def test_weights(parts):
     assert got[0.0] == 1.0 and got[1.0] == w.pos_weight
     bal = features.with_weights(train, "balanced").agg(F.sum("weight")).first()[0]
     assert abs(bal - (w.neg + w.pos)) < 1e-3 * (w.neg + w.pos)
+
+
+def test_full_settings_are_the_default():
+    gbt, rf, lr = (models.pipeline(k).getStages()[-1] for k in ("gbt", "rf", "lr"))
+    assert (gbt.getMaxIter(), gbt.getMaxDepth(), gbt.getStepSize()) == (300, 6, 0.05)
+    assert (rf.getNumTrees(), rf.getMaxDepth(), lr.getMaxIter()) == (200, 12, 500)
+
+
+def test_any_vocabulary_size_fits_and_unlabelled_requests_score(spark):
+    rows = [(i, float(i % 97), "C", 1.0, 2.0, "visa", "debit", f"d{i % 500}.com", 1.0, 1.0, float(i % 7), float(i % 7 == 0)) for i in range(1500)]
+    names = [S.ID, *S.FEATURES, S.LABEL]
+    train = models.model_frame(spark.createDataFrame(rows, names))
+    m = models.fit("gbt", train, {"maxIter": 2, "maxDepth": 2})
+    asked = spark.createDataFrame([(1, 10.0, "visa", None), (2, 20.0, "mastercard", "gmail.com")], f"{S.ID} int, {S.AMOUNT} double, card4 string, P_emaildomain string")
+    frame = models.request_frame(asked).collect()
+    assert [r.P_emaildomain for r in frame] == ["nan", "gmail.com"] and {r.card1 for r in frame} == {S.REQUEST_DEFAULTS["card1"]}
+    out = models.verdict(models.score(m, models.request_frame(asked))).collect()
+    assert len(out) == 2 and all(0 <= r.score <= 1 for r in out)
+
+
+def test_ties_mark_one_model(spark):
+    t = models.compare(spark, {"b": 0.9, "a": 0.9, "c": 0.1})
+    assert [r.model for r in t.filter("is_best").collect()] == ["a"]

@@ -10,17 +10,15 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from riskhouse import schemas as S
 from riskhouse.operators import gold, insights, silver
+from riskhouse.plans import incremental, oracle, queries
 from riskhouse.sources import fixtures
 from riskhouse.sources.tables import Lake
 from tests.conftest import SMALL
 
 # Keys whose plan is built without running jobs first (no streams, models, writes).
-WRITES = ("stream_", "csv_", "parquet_glob", "gold_overwrite", "gold_incremental", "silver_append")
-PLAN_ONLY = [
-    k
-    for k in E.oracle_sql()
-    if not k.startswith(WRITES) and k not in ("risk_heatmap", "roc_auc", "label_encode")
-]
+WRITES = ("stream_", "csv_", "parquet_glob", "gold_overwrite", "gold_incremental", "silver_append", "silver_quarantine", "replay_capped")
+JOBS = ("roc_auc", "label_encode", "comparison_fixed_scores", "metrics_roundtrip", "headline_detection", "assembled_features", "saved_model_scores")
+PLAN_ONLY = [k for k in oracle.ORACLE if not k.startswith(WRITES) and k not in JOBS]
 
 
 def plan(df) -> str:
@@ -58,7 +56,7 @@ def test_rollup_reads_only_needed_columns(spark):
 
 def test_filters_reach_the_silver_scan(spark):
     lake = Lake.fresh(spark, "plan-lake")
-    lake.replace("silver_transactions", silver.to_silver(fixtures.transactions(spark, SMALL)))
+    incremental.merge_batch(lake, fixtures.transactions(spark, SMALL), "a")
     s = lake.read("silver_transactions")
     p = formatted(insights.fraud_only(s))
     assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(isFraud,1\.0\)", p)
@@ -67,11 +65,32 @@ def test_filters_reach_the_silver_scan(spark):
 
 def test_single_scan_gold(spark):
     lake = Lake.fresh(spark, "plan-lake2")
-    lake.replace("silver_transactions", silver.to_silver(fixtures.transactions(spark, SMALL)))
+    incremental.merge_batch(lake, fixtures.transactions(spark, SMALL), "a")
     p = plan(gold.all_rollups(lake.read("silver_transactions")))
     assert p.count("FileScan") == 1 and "Expand" in p
 
 
+def test_registered_rollups_and_findings_finish_the_dedup_once(spark):
+    for key in ("gold_rollups_single_scan", "key_findings"):
+        p = plan(queries.QUERIES[key](spark, SMALL))
+        assert p.count("Expand [") == 1 and p.count("partial_max(struct") == 1, key
+
+
+def test_heatmap_runs_no_job_while_it_is_planned(spark):
+    sc = spark.sparkContext
+    sc.setJobGroup("heatmap-plan", "planning")
+    queries.QUERIES["risk_heatmap"](spark, SMALL)
+    jobs = sc.statusTracker().getJobIdsForGroup("heatmap-plan")
+    sc.setJobGroup("tests", "")
+    # reading a parquet footer may be a job; a query over the rows is not run
+    assert len(jobs) <= 1
+
+
+def test_single_rollups_carry_their_own_columns_only(spark):
+    p = plan(queries.QUERIES["estimated_exposure"](spark, SMALL))
+    assert "card4" not in p and "P_emaildomain" not in p
+
+
 def test_top_k_is_distributed(spark):
     s = silver.to_silver(fixtures.transactions(spark, SMALL), [S.LABEL, S.AMOUNT])
     assert "TakeOrderedAndProject" in plan(insights.legit_sample(s))
