@@ -29,7 +29,9 @@ from pyspark.sql import functions as F
 from riskhouse.llm import common
 
 #: Pre-tokens and their characters that a worker remembers between blocks (speed only).
-REMEMBER, REMEMBER_CHARS = 400_000, 16 << 20
+REMEMBER, REMEMBER_CHARS = 300_000, 16 << 20
+#: Pre-tokens that are merged together.
+TOGETHER = 50_000
 _NONE = np.int64(1) << 40
 _encoders: dict = {}
 
@@ -235,7 +237,8 @@ class Encoder:
             rows.append(array("I", [number.setdefault(w, len(number)) for w in self.words(text)]))
         fresh = list(number)[known:] if len(number) > known else []
         self.chars += sum(map(len, fresh))
-        self.ids += [x.tobytes() for x in merge([w.encode() for w in fresh], self.vocabulary)]
+        for k in range(0, len(fresh), TOGETHER):
+            self.ids += [x.tobytes() for x in merge([w.encode() for w in fresh[k : k + TOGETHER]], self.vocabulary)]
         return [b"".join(map(self.ids.__getitem__, row)) for row in rows]
 
 
@@ -259,40 +262,43 @@ def decode_ids(ids: bytes, table: np.ndarray, starts: np.ndarray, sizes: np.ndar
     return b"".join(out)
 
 
-def _with_binary(df: DataFrame, column: str, new: str, make) -> DataFrame:
-    """df with a binary column of what ``make()`` (called in each task) gives for lists of ``column``'s values."""
-    df = df.drop(new)
-    at = df.columns.index(column)
+def _with_binary(df: DataFrame, steps: list) -> DataFrame:
+    """df with binary columns, made one after the other in one pass over the blocks.
+
+    steps: (column to read, column to add, make); ``make()``, called in each task, gives a
+    function from a list of the read column's values to the added one's.
+    """
+    df = df.drop(*[new for _, new, _ in steps])
+    names, first = df.columns, df.columns.index(steps[0][0])
 
     def run(batches):
-        fn = make()
+        made = [(column, new, make()) for column, new, make in steps]
         for batch in batches:
-            values = batch.column(at)
-            sizes = pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False)
+            sizes = pc.fill_null(pc.binary_length(batch.column(first)), 0).to_numpy(zero_copy_only=False)
             off = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
-            for lo, hi in common.row_blocks(off, 2 * common.BLOCK):
+            for lo, hi in common.row_blocks(off):
                 part = batch.slice(lo, hi - lo)
-                out = pa.array(fn(part.column(at).to_pylist()), pa.binary())
-                yield pa.RecordBatch.from_arrays([*part.columns, out], names=[*batch.schema.names, new])
+                out: dict[str, list] = {}
+                for column, new, fn in made:
+                    out[new] = fn(out[column] if column in out else part.column(names.index(column)).to_pylist())
+                yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array(v, pa.binary()) for v in out.values())], names=[*names, *out])
 
-    schema = df.withColumn(new, F.lit(None).cast("binary")).schema
+    schema = df.withColumns({new: F.lit(None).cast("binary") for _, new, _ in steps}).schema
     common.ship(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
-def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """Adds ``ids``: the tokens of ``text`` as little-endian unsigned 32-bit integers (binary)."""
+def _encoding(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str, ids: str):
     shared = df.sparkSession.sparkContext.broadcast(ranks)
 
     def make():
         own = _encoder(shared.value, pattern)
         return lambda values: own.block([v or "" for v in values])
 
-    return _with_binary(df, text, ids, make)
+    return text, ids, make
 
 
-def decode(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids", decoded: str = "decoded") -> DataFrame:
-    """Adds ``decoded``: the bytes of ``ids`` (binary)."""
+def _decoding(df: DataFrame, ranks: dict[bytes, int], ids: str, decoded: str):
     shared = df.sparkSession.sparkContext.broadcast(ranks)
 
     def make():
@@ -303,12 +309,27 @@ def decode(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids", decoded: st
         table, starts = np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(sizes) - sizes
         return lambda values: [decode_ids(v or b"", table, starts, sizes) for v in values]
 
-    return _with_binary(df, ids, decoded, make)
+    return ids, decoded, make
+
+
+def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
+    """Adds ``ids``: the tokens of ``text`` as little-endian unsigned 32-bit integers (binary)."""
+    return _with_binary(df, [_encoding(df, ranks, pattern, text, ids)])
+
+
+def decode(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """Adds ``decoded``: the bytes of ``ids`` (binary)."""
+    return _with_binary(df, [_decoding(df, ranks, ids, decoded)])
+
+
+def round_trip(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """Adds ``ids`` and ``decoded`` in one pass: each block is encoded and its ids decoded."""
+    return _with_binary(df, [_encoding(df, ranks, pattern, text, ids), _decoding(df, ranks, ids, decoded)])
 
 
 def digests(df: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     """doc_id, n_tokens and the digests of ids and decoded bytes of every whole text."""
-    both = decode(encode(df.select("doc_id", "text"), ranks, pattern).select("doc_id", "ids"), ranks)
+    both = round_trip(df.select("doc_id", "text"), ranks, pattern)
     return both.select(
         "doc_id",
         (F.length("ids") / 4).cast("long").alias("n_tokens"),
@@ -326,7 +347,7 @@ def public_vocabulary() -> tuple[dict[bytes, int], str]:
 def tokenized(docs: DataFrame) -> DataFrame:
     """doc_id, n_tokens, ids (binary) and whether they decode to the text, for every document."""
     ranks, pattern = public_vocabulary()
-    both = decode(encode(docs.select("doc_id", "text"), ranks, pattern), ranks)
+    both = round_trip(docs.select("doc_id", "text"), ranks, pattern)
     text = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     return both.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids", (F.col("decoded") == text).alias("round_trip"))
 

@@ -293,7 +293,7 @@ def test_bpe_equals_tiktoken_and_round_trips(spark):
     docs = table(spark, texts)
     docs = docs.unionByName(docs.where("doc_id = 9"))
     both = bpe.decode(bpe.encode(docs, ranks, pattern), ranks).collect()
-    assert len(both) == len(texts) + 1
+    assert len(both) == len(texts) + 1 and sorted(both) == sorted(bpe.round_trip(docs, ranks, pattern).collect())
     for r in both:
         text = texts[r["doc_id"]] or ""
         assert np.frombuffer(r["ids"], "<u4").tolist() == enc.encode_ordinary(text)
