@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from riskhouse import schemas as S
 from riskhouse.functions import columns as C
-from riskhouse.operators import gold, insights, silver
+from riskhouse.operators import gold, insights, metrics, silver
 from riskhouse.sources import fixtures
 from tests.conftest import SMALL
 
@@ -147,3 +147,10 @@ def test_auc_exact_for_any_bucket_count(spark, silver_df):
     wins = sum(bisect.bisect_left(neg, p) + 0.5 * (bisect.bisect_right(neg, p) - bisect.bisect_left(neg, p)) for p in pos)
     brute = round(wins / (len(pos) * len(neg)), 6)
     assert set(got.values()) == {brute}
+
+
+def test_auc_ranks_missing_scores_lowest(spark):
+    rows = [(1.0, float("nan")), (0.0, 0.2), (1.0, 0.9), (0.0, None), (0.0, -5.0)]
+    df = spark.createDataFrame(rows, f"{S.LABEL} double, score double")
+    # positives: NaN (ties with the null, below the rest) and 0.9 (above all)
+    assert metrics.roc_auc(df).first()["auc"] == round((0.5 + 3) / 6, 6)
