@@ -478,3 +478,31 @@ def test_components(spark):
     got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: find(x) for x in got} and set(got) == {x for a, b in edges if a != b for x in (a, b)}
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_empty_tables(spark, tmp_path):
+    path = saved(spark, tmp_path, spark.createDataFrame([], DOCS))
+    saved(spark, tmp_path, spark.createDataFrame([], "doc_id long, quality int, toxic int"), "labels")
+    saved(spark, tmp_path, spark.createDataFrame([], "item_id long, text string"), "benchmark")
+    saved(spark, tmp_path, spark.createDataFrame([], "page_id long, url string, html string"), "pages")
+    saved(spark, tmp_path, spark.createDataFrame([], "vec_id long, embedding array<float>, label int"), "embeddings")
+    from riskhouse.llm.queries import QUERIES
+
+    for name, query in QUERIES.items():
+        assert query(spark, path).count() == 0, name
+
+
+def test_nulls_in_every_column(spark, tmp_path):
+    docs = spark.createDataFrame([(None, None, None, None, None), (1, None, "en", None, None), (None, prose(1, 80), None, None, None), (2, prose(1, 80), "en", "s", 1)], DOCS)
+    path = saved(spark, tmp_path, docs)
+    saved(spark, tmp_path, spark.createDataFrame([(None, None, None), (2, None, 1), (2, 1, None), (1, 1, 0)], "doc_id long, quality int, toxic int"), "labels")
+    saved(spark, tmp_path, spark.createDataFrame([(None, None), (None, prose(1, 20))], "item_id long, text string"), "benchmark")
+    saved(spark, tmp_path, spark.createDataFrame([(None, None, None), (1, None, None)], "page_id long, url string, html string"), "pages")
+    saved(spark, tmp_path, spark.createDataFrame([(None, None, None), (50, [1.0, None], None), (100, [1.0, 2.0], 1), (None, [1.0, 2.0], 1)], "vec_id long, embedding array<float>, label int"), "embeddings")
+    from riskhouse.llm.queries import QUERIES
+
+    rows = {name: query(spark, path).count() for name, query in QUERIES.items()}
+    assert rows == {
+        "op1_substring_dedup": 2, "op2_exact_topk": 0, "op3_language_id": 4, "op4_decontaminate": 2, "op5_line_dedup": 4,
+        "op6_toxicity": 4, "op7_byte_bpe": 4, "op8_url_filter": 2, "op9_pii": 4, "op10_jaccard_join": 4,
+    }
