@@ -6,7 +6,8 @@ the id: words are chosen by how unevenly they lie in the two classes, and a logi
 by gradient descent on  log-loss + RIDGE |w|^2 + SWAP mean (s(x) - s(x'))^2,  where x' is a labelled text
 whose identity terms are swapped for another term of the same group.  Texts without such a term take part
 with the group's terms put in and swapped, so the penalty holds for every group, however rarely
-the corpus names it.  Neutral mentions of a group then hardly move the score.
+the corpus names it.  Neutral mentions of a group then hardly move the score.  A fifth of the sample takes no part in
+the fit: on it, the intercept is moved so that a score of 1/2 is the lowest cut at which PRECISION of the rows above are toxic.
 
 Edge cases: null and empty texts have no words and get the score of the intercept; with no usable labels
 (none, or of one class) every score is the share of toxic rows, 0.0 without any; repeated rows are scored alike;
@@ -25,7 +26,9 @@ from riskhouse.llm.trees import sigmoid
 
 #: Labelled rows that the classifier is fitted on at most, and words that it weighs at most.
 SAMPLE, WORDS = 16_000, 4_096
-RIDGE, SWAP, ROUNDS = 1e-4, 25.0, 400
+#: Standard deviations by which a word has to lie unevenly in the classes.
+UNEVEN = 2.0
+RIDGE, SWAP, ROUNDS, PRECISION = 3e-5, 25.0, 400, 0.99
 #: Identity terms by group, each swapped for the others of its group.
 IDENTITIES = [
     ["man", "woman", "men", "women", "male", "female", "boy", "girl"],
@@ -98,7 +101,7 @@ def _choose(texts: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     uneven = np.abs(toxic - n * share) / np.sqrt(n * share * (1 - share) + 1)
     uneven[n < 5] = 0
     best = np.argsort(-uneven, kind="stable")[:WORDS]
-    return np.unique(np.concatenate([known[best[uneven[best] > 1.0]], *(_term_hashes(g) for g in IDENTITIES)]))
+    return np.unique(np.concatenate([known[best[uneven[best] > UNEVEN]], *(_term_hashes(g) for g in IDENTITIES)]))
 
 
 def _codes(texts: list[np.ndarray], known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -129,6 +132,27 @@ def fit(docs: DataFrame, labels: DataFrame, learned) -> Classifier:
     if not len(y) or len(set(y)) < 2:
         share = float(np.clip(y.mean(), 1e-12, 1 - 1e-12)) if len(y) else 1e-12
         return Classifier(np.zeros(0, np.uint64), np.zeros(0), float(np.log(share / (1 - share))))
+    held = np.arange(len(y)) % 5 == 4
+    if len(set(y[~held])) == 2 and len(set(y[held])) == 2:
+        fitted = _fit([t for t, h in zip(texts, held, strict=True) if not h], y[~held])
+        return _calibrated(fitted, [t for t, h in zip(texts, held, strict=True) if h], y[held])
+    return _fit(texts, y)
+
+
+def _calibrated(model: Classifier, texts: list[np.ndarray], y: np.ndarray) -> Classifier:
+    raw = model.raw(np.concatenate(texts), np.concatenate([[0], np.cumsum([len(t) for t in texts])]))
+    order = np.argsort(-raw, kind="stable")
+    right = np.cumsum(y[order])
+    good = np.flatnonzero(right >= PRECISION * np.arange(1, len(y) + 1))
+    if not len(good):
+        return model
+    k = int(good[-1])
+    # halfway between the last row above the cut and the first below it
+    below = raw[order[k + 1]] if k + 1 < len(y) else raw[order[k]] - 1
+    return Classifier(model.known, model.weight, model.intercept - float(raw[order[k]] + below) / 2)
+
+
+def _fit(texts: list[np.ndarray], y: np.ndarray) -> Classifier:
     known = _choose(texts, y)
     row, word = _codes(texts, known)
     who, old, new = _swaps(row, word, len(y), known)
