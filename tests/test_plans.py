@@ -5,7 +5,6 @@ import io
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from riskhouse import schemas as S
