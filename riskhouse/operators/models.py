@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from riskhouse import schemas as S
 from riskhouse.operators import features, metrics
-from riskhouse.session import scratch_path
+from riskhouse.session import checkpointed, scratch_path
 
 # --- fixed values: the reference's model settings ---------------------------
 FULL_SETTINGS = {
@@ -185,3 +185,23 @@ def boosting_progress(model: PipelineModel, test: DataFrame) -> list[float]:
         test = test.withColumn("weight", F.lit(1.0))
     prepared = PipelineModel(stages=model.stages[:-1]).transform(test)
     return list(model.stages[-1].evaluateEachIteration(prepared))
+
+
+def boosting_auc(model: PipelineModel, test: DataFrame, every: int = 50) -> DataFrame:
+    """(round, auc) on ``test`` after each ``every`` boosting rounds and the last one.
+
+    The margins of ``every`` trees are added in one pass, which is checkpointed
+    with the running sum before the next ones.
+    """
+    boosted = model.stages[-1]
+    frame = PipelineModel(stages=model.stages[:-1]).transform(test).select(S.LABEL, "features").withColumn("margin", F.lit(0.0))
+    trees, weights, rows = boosted.trees, boosted.treeWeights, []
+    for begin in range(0, len(trees), every):
+        part = range(begin, min(begin + every, len(trees)))
+        margin = F.col("margin")
+        for i in part:
+            frame = trees[i].setPredictionCol(f"_t{i}").transform(frame)
+            margin = margin + F.col(f"_t{i}") * float(weights[i])
+        frame = checkpointed(frame.select(S.LABEL, "features", margin.alias("margin")))
+        rows.append((part[-1] + 1, metrics.roc_auc(frame, S.LABEL, "margin", digits=4).first()["auc"]))
+    return test.sparkSession.createDataFrame(rows, "round int, auc double")

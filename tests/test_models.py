@@ -86,3 +86,11 @@ def test_any_vocabulary_size_fits_and_unlabelled_requests_score(spark):
 def test_ties_mark_one_model(spark):
     t = models.compare(spark, {"b": 0.9, "a": 0.9, "c": 0.1})
     assert [r.model for r in t.filter("is_best").collect()] == ["a"]
+
+
+def test_auc_by_boosting_round(parts):
+    train, test = parts
+    m = models.fit("gbt", train, QUICK["gbt"])
+    rows = models.boosting_auc(m, test, every=4).collect()
+    assert [r["round"] for r in rows] == [4, 8, 10]
+    assert abs(rows[-1]["auc"] - models.auc_of(m, test)) <= 1e-4 and all(r["auc"] > 0.5 for r in rows)
