@@ -426,7 +426,10 @@ def links(docs: DataFrame, reps: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(doc_id, t, n_shingles, component_id) of every row of docs; t is the text's hash."""
+    """(doc_id, t, n_shingles, root, component_id) of every row of docs; t is the text's hash, root the component's own set id.
+
+    component_id is the smallest doc_id, so it is null or shared where ids are null or repeated; root is neither (null only without a shingle).
+    """
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("t"))
     every = common.shared_checkpoint(members(rows))
     id_ = F.coalesce("doc_id", F.lit(2**63 - 1))
@@ -435,23 +438,22 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFra
     grouped = common.shared_checkpoint(components(links(rows, reps)))
     named = grouped.join(reps, grouped["node"] == reps["sid"]).select("sid", "root", "d")
     least = named.groupBy("root").agg(F.min("d").alias("least"))
-    named = named.join(least, "root").select("sid", "least")
-    class_of = reps.select("sid", "d").join(named, "sid", "left").select("sid", F.coalesce("least", "d").alias("least"))
+    named = named.join(least, "root").select("sid", "root", "least")
+    class_of = reps.select("sid", "d").join(named, "sid", "left").select("sid", F.coalesce("root", "sid").alias("root"), F.coalesce("least", "d").alias("least"))
     out = every.join(class_of, "sid", "left")
     least = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "t", F.col("n").alias("n_shingles"), F.when(least != 2**63 - 1, least).alias("component_id"))
+    return out.select("doc_id", "t", F.col("n").alias("n_shingles"), "root", F.when(least != 2**63 - 1, least).alias("component_id"))
 
 
 def op10_jaccard_join(spark, sf_dir: str) -> DataFrame:
-    return classes(common.documents(spark, sf_dir)).drop("t")
+    return classes(common.documents(spark, sf_dir)).drop("t", "root")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """Pipeline stage: of each component the document with the smallest id (one of equal rows); columns as they are."""
     found = classes(docs).where("n_shingles > 0")
     id_ = F.coalesce("doc_id", F.lit(2**63 - 1))
-    group = F.coalesce("component_id", F.lit(2**63 - 1))
-    best = found.select(group.alias("g"), id_.alias("_d"), F.col("t").alias("_t")).groupBy("g").agg(F.min(F.struct("_d", "_t")).alias("b"))
+    best = found.select(F.col("root").alias("g"), id_.alias("_d"), F.col("t").alias("_t")).groupBy("g").agg(F.min(F.struct("_d", "_t")).alias("b"))
     best = best.select("b.*").withColumn("_keep", F.lit(True))
     keyed = common.packed(docs, ["doc_id", "text"]).withColumns({"_d": F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)), "_t": F.xxhash64("text")})
     blank = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))

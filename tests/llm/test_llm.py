@@ -461,6 +461,14 @@ def test_jaccard_stage_and_null_ids(spark):
     assert jaccard.keep_one(docs.limit(0)).count() == 0
 
 
+def test_jaccard_stage_keeps_unrelated_texts_of_null_or_equal_ids(spark):
+    rows = [(None, "first text of a null id"), (None, "second unrelated one of another null id"), (7, "alpha beta gamma delta epsilon zeta"), (7, "one two three four five six seven")]
+    rows += [(None, "first text of a null id"), (9, "ALPHA beta gamma delta epsilon zeta")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], DOCS)
+    got = sorted(((r["doc_id"], r["text"]) for r in jaccard.keep_one(docs).collect()), key=str)
+    assert got == sorted(rows[:4], key=str)
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(k, k + 1) for k in range(0, 60)] + [(100, 100 + k) for k in range(1, 50)] + [(rng.randrange(200, 300), rng.randrange(200, 300)) for _ in range(60)]
