@@ -1,5 +1,6 @@
 """The training-data operators against brute force on small tables, with nulls, empties, ties, repeats and clashing columns."""
 
+import collections
 import hashlib
 import itertools
 import random
@@ -112,6 +113,57 @@ def test_passages_equal_all_pairs(spark):
     assert {r["doc_id"] for r in passages.passages(docs).collect()} == want
 
 
+def text_shingles(text):
+    data, off = common.utf8(pa.array([text]))
+    return common.shingle_hashes(*common.word_hashes(data, off))[0]
+
+
+def brute_runs(x, y):
+    """Positions of x and y, from first to last match, in every pair of 46-shingle runs whose multisets are near."""
+    n, out = passages.WIDTH, (set(), set())
+    for a in range(len(x) - n + 1):
+        own = collections.Counter(x[a : a + n].tolist())
+        for b in range(len(y) - n + 1):
+            other = collections.Counter(y[b : b + n].tolist())
+            both = sum((own & other).values())
+            if 100 * both >= passages.SIMILARITY * (2 * n - both):
+                for line, start, seen, to in ((x, a, other, out[0]), (y, b, own, out[1])):
+                    at = [k for k in range(n) if int(line[start + k]) in seen]
+                    to |= set(range(start + at[0], start + at[-1] + 1))
+    return out
+
+
+def test_passage_verification_with_an_earlier_phrase():
+    for size, (lo, hi) in itertools.product((55, 60, 80), ((22, 32), (20, 40), (25, 35), (30, 45))):
+        passage = prose(1, size).split()
+        x = text_shingles(" ".join([prose(2, 30), *passage, prose(3, 20)]))
+        y = text_shingles(" ".join([prose(4, 10), *passage[lo:hi], prose(5, 15), *passage, prose(6, 10)]))
+        for a, b in ((x, y), (y, x)):
+            assert any(stop - start >= size - 4 for start, stop in passages.near_spans(a, b)[0]), (size, lo, hi)
+
+
+def test_passage_verification_equals_brute_force():
+    rng = random.Random(8)
+    for case in range(60):
+        passage = [f"p{rng.randrange(12 if case % 6 == 0 else 500)}" for _ in range(rng.randrange(50, 70))]
+        copy = [*passage]
+        at = rng.randrange(len(copy))
+        edit = case % 4
+        if edit == 1:
+            copy[at] = "edited"
+        elif edit == 2:
+            copy.insert(at, "more")
+        elif edit == 3:
+            del copy[at]
+        lo = rng.randrange(40)
+        quoted = passage[lo : lo + rng.randrange(8, 25)]
+        x = text_shingles(" ".join([prose(case, 9), *passage, prose(100 + case, 7)]))
+        y = text_shingles(" ".join([*quoted, prose(200 + case, 5), *copy, *(quoted if case % 3 else []), prose(300 + case, 6)]))
+        want, got = brute_runs(x, y), passages.near_spans(x, y)
+        for k in (0, 1):
+            assert want[k] <= {p for start, stop in got[k] for p in range(start, stop)}, (case, k)
+
+
 # --- 2 top k ----------------------------------------------------------------------
 
 
