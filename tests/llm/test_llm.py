@@ -164,6 +164,30 @@ def test_passage_verification_equals_brute_force():
             assert want[k] <= {p for start, stop in got[k] for p in range(start, stop)}, (case, k)
 
 
+def test_passages_with_a_common_phrase_inside(spark):
+    phrase = prose(77, 42)
+    texts = [f"{prose(500 + k, 40)} {phrase} {prose(600 + k, 40)}" for k in range(60)]
+    for k in range(15):  # pairs that share 52 words around the phrase
+        passage = f"{prose(700 + k, 5)} {phrase} {prose(800 + k, 5)}"
+        texts += [f"{prose(900 + 2 * k + j, 50)} {passage} {prose(1000 + 2 * k + j, 50)}" for j in (0, 1)]
+    got = {r["doc_id"]: r["component_id"] for r in passages.passages(table(spark, texts)).collect()}
+    assert got == {60 + 2 * k + j: 60 + 2 * k for k in range(15) for j in (0, 1)}
+
+
+def test_contexts_by_postings_are_the_same(monkeypatch):
+    rng = np.random.default_rng(3)
+    ctx = rng.integers(1, 2**32, (120, 2 * passages.WIDTH - 1), dtype=np.uint32)
+    ctx[:, 30:60] = ctx[0, 30:60]  # a phrase of all
+    for a, b in ((3, 90), (40, 41), (90, 100), (7, 110)):
+        ctx[b, 20:70] = ctx[a, 20:70]
+    want = {(3, 90), (40, 41), (7, 110), (3, 100)}
+    for leaders, few in ((1000, 0), (0, 0), (5, 10)):
+        monkeypatch.setattr(passages, "LEADERS", leaders)
+        monkeypatch.setattr(passages, "FEW", few)
+        got = {(int(i), int(j)) for x, y in passages._group_pairs(ctx, np.sort(ctx, axis=1)) for i, j in zip(x, y, strict=True)}
+        assert got == want
+
+
 # --- 2 top k ----------------------------------------------------------------------
 
 
