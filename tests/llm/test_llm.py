@@ -174,6 +174,21 @@ def test_passages_with_a_common_phrase_inside(spark):
     assert got == {60 + 2 * k + j: 60 + 2 * k for k in range(15) for j in (0, 1)}
 
 
+def test_passages_recall_at_the_threshold(spark):
+    texts = []
+    for k in range(400):  # one word changed in the middle of 50: 41 of 51 shingles
+        passage = prose(2000 + k, 50).split()
+        texts.append(f"{prose(3000 + k, 15)} {' '.join(passage)} {prose(4000 + k, 15)}")
+        passage[25] = "changed"
+        texts.append(f"{prose(5000 + k, 15)} {' '.join(passage)} {prose(6000 + k, 15)}")
+    x, y = text_shingles(texts[0]), text_shingles(texts[1])
+    assert brute_runs(x, y)[0]
+    got = {r["doc_id"]: r["component_id"] for r in passages.passages(table(spark, texts, extra=False)).collect()}
+    assert set(got.values()) <= set(range(0, 800, 2))
+    missed = 400 - sum(2 * k in got and got[2 * k] == got.get(2 * k + 1) for k in range(400))
+    assert missed <= 2
+
+
 def test_contexts_by_postings_are_the_same(monkeypatch):
     rng = np.random.default_rng(3)
     ctx = rng.integers(1, 2**32, (120, 2 * passages.WIDTH - 1), dtype=np.uint32)
