@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from riskhouse.llm.bpe import op7_byte_bpe
+from riskhouse.llm.crosstok import op11_token_alignment
 from riskhouse.llm.decontaminate import ORACLE_OP4, op4_decontaminate
 from riskhouse.llm.jaccard import op10_jaccard_join
 from riskhouse.llm.kdtree import ORACLE_OP2, op2_exact_topk
@@ -10,6 +11,8 @@ from riskhouse.llm.langid import op3_language_id
 from riskhouse.llm.lines import ORACLE_OP5, op5_line_dedup
 from riskhouse.llm.passages import op1_substring_dedup
 from riskhouse.llm.pii import op9_pii
+from riskhouse.llm.quality import op13_quality
+from riskhouse.llm.search import ORACLE_OP12, op12_lexical_search
 from riskhouse.llm.toxicity import op6_toxicity
 from riskhouse.llm.urls import ORACLE_OP8, op8_url_filter
 
@@ -24,6 +27,9 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_pii": op9_pii,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_quality": op13_quality,
 }
 
 ORACLE: dict[str, str] = {
@@ -31,4 +37,5 @@ ORACLE: dict[str, str] = {
     "op4_decontaminate": ORACLE_OP4,
     "op5_line_dedup": ORACLE_OP5,
     "op8_url_filter": ORACLE_OP8,
+    "op12_lexical_search": ORACLE_OP12,
 }

@@ -20,7 +20,7 @@ def test_query_matches_oracle(spark, key):
 
 def test_registered():
     assert set(queries.QUERIES) | {"pipeline"} <= set(E.queries())
-    assert sorted(int(k.split("_")[0][2:]) for k in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(k.split("_")[0][2:]) for k in queries.QUERIES) == list(range(1, 14))
 
 
 def test_pipeline_stages(spark):
