@@ -224,11 +224,15 @@ def partials(silver: DataFrame) -> DataFrame:
     return g.withColumn("gset", gset).select(*PARTIAL_KEYS, *PARTIAL_SUMS)
 
 
+def summed(parts: DataFrame) -> DataFrame:
+    return parts.groupBy(*PARTIAL_KEYS).agg(*[F.sum(c).alias(c) for c in PARTIAL_SUMS])
+
+
 def finalize(parts: DataFrame) -> DataFrame:
     """Sum all partials per group and derive the rollup measures; the result
-    has the shape of ``all_rollups`` so ``split_rollups`` applies."""
-    s = parts.groupBy(*PARTIAL_KEYS).agg(*[F.sum(c).alias(c) for c in PARTIAL_SUMS])
-    return s.select(
+    has the shape of ``all_rollups`` so ``split_rollups`` applies.  A group whose
+    last row a later copy has taken is gone."""
+    return summed(parts).filter(F.col("n") > 0).select(
         *PARTIAL_KEYS,
         F.col("n").cast("long").alias("total_transactions"),
         F.col("fraud_sum").alias("fraud_count"),

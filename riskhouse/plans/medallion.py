@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import argparse
 import json
+import time
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,6 +66,33 @@ def build_gold(lake: Lake, from_partials: bool = True) -> None:
         lake.replace(name, df)
 
 
+def serve(
+    lake: Lake, landing: str, checkpoint: str, stop: Callable[[], bool] = lambda: False, restarts: int = 10, poll: float = 5.0, **source
+) -> None:
+    """Bronze, silver and gold as one service: two continuous streams, the second of which refreshes gold after each merge.
+
+    A stream that fails is started again from its checkpoint, ``restarts`` times at most; ``stop`` is asked
+    every ``poll`` seconds.  ``source``: format, servers and limit of ``ingest.start_bronze``."""
+    start = {
+        "bronze": lambda: ingest.start_bronze(lake, landing, checkpoint, available_now=False, **source),
+        "silver": lambda: inc.start_silver(lake, available_now=False, after=lambda: build_gold(lake)),
+    }
+    running, failures = {name: begin() for name, begin in start.items()}, dict.fromkeys(start, 0)
+    try:
+        while not stop():
+            time.sleep(poll)
+            for name, query in running.items():
+                if query.isActive:
+                    continue
+                failures[name] += 1
+                if failures[name] > restarts:
+                    raise RuntimeError(f"the {name} stream failed {failures[name]} times: {query.exception()}")
+                running[name] = start[name]()
+    finally:
+        for query in running.values():
+            query.stop()
+
+
 def train(lake: Lake, settings: dict | None = None) -> DataFrame:
     """Fit, compare and save the three models on bronze's deduplicated,
     unfilled features (80/20 exact stratified split, checkpointed once);
@@ -94,7 +123,7 @@ def score(lake: Lake, transactions: DataFrame) -> DataFrame:
 
 
 def quarantined(lake: Lake) -> DataFrame:
-    """Messages that the committed silver batches left out, every one of them."""
+    """Messages in bronze without a usable id, every one of them, with their text and the reason."""
     return lake.read("silver_quarantine")
 
 
@@ -127,7 +156,7 @@ def main(argv: list[str] | None = None) -> int:
 
     p = argparse.ArgumentParser(prog="riskhouse.plans.medallion")
     p.add_argument(
-        "job", choices=["replay", "bronze", "silver", "gold", "reports", "train", "score"]
+        "job", choices=["replay", "bronze", "silver", "gold", "serve", "fold", "reports", "train", "score"]
     )
     p.add_argument("--lake", required=True)
     p.add_argument("--source", help="parquet of bronze-shaped transactions (replay, score)")
@@ -155,6 +184,10 @@ def main(argv: list[str] | None = None) -> int:
             q.awaitTermination()
     elif a.job == "silver":
         print(json.dumps(build_silver(lake, incremental=not a.full)))
+    elif a.job == "serve":
+        serve(lake, a.landing, a.checkpoint, fmt=a.format, kafka_servers=a.kafka_servers, max_per_trigger=a.max_per_trigger)
+    elif a.job == "fold":
+        print(json.dumps(inc.fold(lake)))
     elif a.job == "gold":
         build_gold(lake, from_partials=not a.full)
     elif a.job == "train":

@@ -494,15 +494,21 @@ SELECT strftime(d, '%Y-%m-%d') AS day, exposure, round(exposure - lag(exposure)
 FROM d""",
 )
 register("gold_incremental", ORACLE["gold_rollups_single_scan"])
+register("stream_exposure_trend", ORACLE["exposure_trend"])
 register(
     "silver_quarantine",
     TXN_ONLY.rstrip()
     + f""",
-bad AS (
-  SELECT * REPLACE (CASE CAST(C2 AS BIGINT) % 25 WHEN 0 THEN NULL WHEN 1 THEN TransactionID + 3e9 ELSE TransactionID END AS TransactionID) FROM txn
-)
-SELECT {BRONZE_COLS}, {TS_TEXT} FROM (SELECT * FROM bad UNION ALL SELECT * FROM bad)
-WHERE TRY_CAST(TransactionID AS INTEGER) IS NULL""",
+sent AS (SELECT *, CAST(C2 AS BIGINT) % 25 AS k FROM txn),
+kept AS (
+  SELECT * EXCLUDE (k) REPLACE (CASE k WHEN 1 THEN TransactionID + 3e9 END AS TransactionID),
+         CASE k WHEN 1 THEN 'id out of range' ELSE 'no id' END AS reason, TransactionAmt AS raw_amount, CAST(NULL AS VARCHAR) AS raw_text
+  FROM sent WHERE k IN (0, 1)
+  UNION ALL
+  SELECT {", ".join("NULL" for _ in range(13))}, kafka_timestamp, 'malformed', NULL, '{{broken ' || CAST(CAST(round(TransactionAmt * 100) AS BIGINT) AS VARCHAR)
+  FROM sent WHERE k = 2
+)
+SELECT {BRONZE_COLS}, {TS_TEXT}, reason, raw_amount, raw_text FROM (SELECT * FROM kept UNION ALL SELECT * FROM kept)""",
 )
 
 

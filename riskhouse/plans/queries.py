@@ -139,32 +139,51 @@ def deliveries(bronze: DataFrame) -> list[DataFrame]:
     return [bronze.filter(newer), bronze.filter(~newer), bronze]
 
 
+def retired(bronze: DataFrame) -> DataFrame:
+    """Earlier copies of the older half of the ids, under a network and a domain that no later copy has."""
+    old = bronze.filter(F.col(S.EVENT_TIME) < F.lit("1996-01-01").cast("timestamp"))
+    return old.withColumns({
+        S.EVENT_TIME: F.col(S.EVENT_TIME) - F.expr("INTERVAL 40 YEARS"),
+        "card4": F.lit("retired network"),
+        "P_emaildomain": F.lit("retired.example"),
+    })
+
+
 @query("gold_incremental")
 def q_gold_incremental(spark, sf):
-    """Bronze delivered out of order; silver and partials merged after each
-    delivery; gold finalised from the partial sums."""
+    """Bronze delivered out of order, the first copies in groups that later copies empty again; silver
+    and partials merged after each delivery and folded at the end; gold finalised from the partial sums."""
     from riskhouse.plans import medallion
 
-    lake = tables.Lake.fresh(spark)
-    for part in deliveries(txn(spark, sf)):
+    lake, bronze = tables.Lake.fresh(spark), txn(spark, sf)
+    for part in [retired(bronze), *deliveries(bronze)]:
         lake.append("bronze_transactions", part)
         medallion.build_silver(lake)
+    incremental.fold(lake)
     medallion.build_gold(lake, from_partials=True)
     return rollups_long({n: lake.read(n) for n in S.TABLES if n.startswith("gold_") and n != "gold_partials"})
 
 
 @query("silver_quarantine")
 def q_silver_quarantine(spark, sf):
-    """Messages without a usable id (missing, or beyond INT), all of them, after two merged deliveries."""
+    """Messages without a usable id, all of them, with their text and the reason, after two deliveries of
+    every message through the bronze stream: some are no JSON, some lack the id, some have one beyond INT."""
     from riskhouse.plans import medallion
 
-    k = F.pmod(F.col("C2").cast("long"), F.lit(25))
+    k, cents = F.pmod(F.col("C2").cast("long"), F.lit(25)), F.round(F.col(S.AMOUNT) * 100).cast("long").cast("string")
     bad = F.when(k == 0, F.lit(None)).when(k == 1, F.col(S.ID) + 3e9).otherwise(F.col(S.ID))
-    lake = tables.Lake.fresh(spark)
+    source = txn(spark, sf).withColumn(S.ID, bad)
+    sent = source.select(F.when(k == 2, F.concat(F.lit("{broken "), cents)).alias("text"), *source.columns)
+    whole = F.to_json(F.struct(*S.MESSAGE_COLUMNS))
+    msgs = sent.select(F.lit(None).cast("string").alias("key"), F.coalesce("text", whole).alias("value"), F.col(S.EVENT_TIME).alias("timestamp"))
+    landing, ckpt, lake = scratch_path(spark, "landing"), scratch_path(spark, "ckpt-bronze"), tables.Lake.fresh(spark)
     for _ in range(2):
-        lake.append("bronze_transactions", txn(spark, sf).withColumn(S.ID, bad))
+        messages.publish(msgs, landing)
+        ingest.run(ingest.start_bronze(lake, landing, ckpt))
         medallion.build_silver(lake)
-    return bronze_out(medallion.quarantined(lake))
+    amount = F.get_json_object("raw", f"$.{S.AMOUNT}").cast("double").alias("raw_amount")
+    text = F.when(F.col("reason") == S.REJECT_MALFORMED, F.col("raw")).alias("raw_text")
+    return medallion.quarantined(lake).select(*S.MESSAGE_COLUMNS, kafka_ts_text(), "reason", amount, text)
 
 
 # --- insights --------------------------------------------------------------
@@ -441,6 +460,28 @@ def q_exposure_trend(spark, sf):
     return insights.daily_exposure(silver.to_silver(ev, [LBL, AMT, S.EVENT_TIME]))
 
 
+@query("stream_exposure_trend")
+def q_stream_exposure_trend(spark, sf):
+    """The exposure trend of a stream whose transactions come up to a day late: each day is emitted once
+    it is final, with its change against the final day before it, which the stream's state holds."""
+    ev = silver.to_silver(fixtures.event_transactions(spark, sf), [LBL, AMT, S.EVENT_TIME])
+    day = F.datediff(F.to_date(S.EVENT_TIME), F.lit("2024-01-01").cast("date"))
+    arrival = F.floor((day + F.pmod(F.col(S.ID), F.lit(2))) / 6)  # odd ids arrive with the next day's
+    rows = ev.select(S.ID, LBL, AMT, S.EVENT_TIME, arrival.alias("arrival"))
+    # a last row, far later and of no exposure, lets all days become final
+    end = rows.agg(F.max(S.EVENT_TIME).alias("t"), F.max("arrival").alias("a")).select(
+        F.lit(0).alias(S.ID), F.lit(0.0).alias(LBL), F.lit(0.0).alias(AMT), (F.col("t") + F.expr("INTERVAL 30 DAYS")).alias(S.EVENT_TIME), (F.col("a") + 1).alias("arrival")
+    )
+    rows, source = checkpointed(rows.unionByName(end)), scratch_path(spark, "trend-source")
+    for k in [r[0] for r in rows.select("arrival").distinct().orderBy("arrival").collect()]:  # one file set an arrival
+        rows.where(F.col("arrival") == k).drop("arrival").coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(rows.drop("arrival").schema).option("maxFilesPerTrigger", 1).parquet(source)
+    out = scratch_path(spark, "trend")
+    ingest.run(ingest.start_trend(stream, out, scratch_path(spark, "ckpt-trend")))
+    trend = spark.read.schema("series string, day date, exposure double, change double").parquet(out)
+    return trend.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "exposure", "change")
+
+
 # --- models ------------------------------------------------------------------
 def model_data(spark, sf) -> tuple[DataFrame, DataFrame]:
     """Train / test parts of the deduplicated, imputed features.  The split

@@ -7,7 +7,6 @@ inferred at read time.  Writes resolve columns by name against these.
 from __future__ import annotations
 
 from pyspark.sql.types import (
-    BooleanType,
     DoubleType,
     IntegerType,
     LongType,
@@ -99,10 +98,12 @@ GOLD_PARTIALS_SCHEMA = StructType(
        StructField("fraud_amt_sum", D), StructField("fraud_amt_n", L)]
 )
 
-# Internal: which survivor (id, batch) a later batch replaces, and the committed batches.
-SURVIVORS_SCHEMA = StructType(SILVER_SCHEMA.fields + [StructField("raw_id", D), StructField("nulls", L)])
-SUPERSEDED_SCHEMA = StructType([StructField("raw_id", D), StructField("of_batch", S)])
-COMMITS_SCHEMA = StructType([StructField("batch", S), StructField("reset", BooleanType()), StructField("seq", L)])
+# Internal: silver's survivors by bucket of the id, which survivor (id, batch) a later batch replaces,
+# and the messages without a usable id, with their text.
+BUCKET = StructField("bucket", IntegerType())
+SURVIVORS_SCHEMA = StructType(SILVER_SCHEMA.fields + [StructField("raw_id", D), StructField("nulls", L), BUCKET])
+SUPERSEDED_SCHEMA = StructType([StructField("raw_id", D), StructField("of_batch", S), BUCKET])
+QUARANTINE_SCHEMA = StructType(BRONZE_SCHEMA.fields + [StructField("raw", S), StructField("reason", S)])
 
 TABLES: dict[str, StructType] = {
     "bronze_transactions": BRONZE_SCHEMA,
@@ -114,11 +115,11 @@ TABLES: dict[str, StructType] = {
     "gold_partials": GOLD_PARTIALS_SCHEMA,
     "silver_survivors": SURVIVORS_SCHEMA,
     "silver_superseded": SUPERSEDED_SCHEMA,
-    "silver_quarantine": BRONZE_SCHEMA,
-    "silver_commits": COMMITS_SCHEMA,
+    "silver_quarantine": QUARANTINE_SCHEMA,
 }
-# Tables of named batches of which only committed ones are read.
-COMMITTED = ["silver_survivors", "silver_superseded", "silver_quarantine", "gold_partials"]
+# Tables of named batches of which only committed ones are read, and those cut into buckets of the id.
+COMMITTED = ["silver_survivors", "silver_superseded", "gold_partials"]
+BUCKETED = ["silver_survivors", "silver_superseded"]
 
 # --- fixed values (must equal the reference's for identical results) -------
 # Defaults for missing text fields in silver, and the sentinel text the
@@ -165,6 +166,8 @@ REQUEST_DEFAULTS = {
 }
 # Rows of the capped replay.
 CAPPED_ROWS = 10_000
+# Why a message is in the quarantine.
+REJECT_MALFORMED, REJECT_NO_ID, REJECT_RANGE = "malformed", "no id", "id out of range"
 # --- end of fixed values ---------------------------------------------------
 
 # Model features of the fixture (see FIXTURES.md) and which are categorical.

@@ -135,18 +135,20 @@ def test_crash_between_the_writes_of_a_batch(spark, monkeypatch, table):
     medallion.build_silver(lk)
     before = sorted(lk.read("silver_transactions").collect())
     lk.append("bronze_transactions", second)
-    put, append = Lake.put_batch, Lake.append
+    put, commit = Lake.put_batch, Lake.commit
 
-    def failing(real):
-        def run(self, name, *a):
-            if name == table:
-                raise RuntimeError("lost")
-            return real(self, name, *a)
+    def failing_put(self, name, *a):
+        if name == table:
+            raise RuntimeError("lost")
+        return put(self, name, *a)
 
-        return run
+    def failing_commit(self, *a, **k):
+        if table == "silver_commits":
+            raise RuntimeError("lost")
+        return commit(self, *a, **k)
 
-    monkeypatch.setattr(Lake, "put_batch", failing(put))
-    monkeypatch.setattr(Lake, "append", failing(append))
+    monkeypatch.setattr(Lake, "put_batch", failing_put)
+    monkeypatch.setattr(Lake, "commit", failing_commit)
     with pytest.raises(Exception, match="lost"):
         medallion.build_silver(lk)
     monkeypatch.undo()
