@@ -1,4 +1,4 @@
-"""Feature preparation: projection, imputation, label encoding, split, weights.
+"""Feature preparation: projection, imputation, split, weights (encoding: ``dictionary``).
 
 The exact stratified split is distributed: rows are ordered inside each
 class by a seeded md5 key, but instead of one window per class (a single
@@ -9,7 +9,6 @@ every bucket its offset; the window then only ranks inside one bucket.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StringIndexer, StringIndexerModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,9 +21,9 @@ CATEGORY_NULL = "nan"
 
 
 def raw_features(deduped: DataFrame) -> DataFrame:
-    """Id, model features and label of deduplicated rows, before any fill."""
+    """Id, those of the model features that the rows have, and label of deduplicated rows, before any fill."""
     good, _ = silver.split_quarantine(deduped)
-    return good.select(S.ID, *S.FEATURES, S.LABEL)
+    return good.select(S.ID, *[c for c in S.FEATURES if c in good.columns], S.LABEL)
 
 
 def impute(df: DataFrame, categorical=S.CATEGORICAL) -> DataFrame:
@@ -37,20 +36,6 @@ def impute(df: DataFrame, categorical=S.CATEGORICAL) -> DataFrame:
     return out.fillna(NUMERIC_NULL, subset=nums)
 
 
-def label_encoder(cols, suffix: str = "_ix") -> StringIndexer:
-    """Sorted-vocabulary encoder (code-point order); unseen values -> extra index."""
-    return StringIndexer(
-        inputCols=list(cols),
-        outputCols=[c + suffix for c in cols],
-        stringOrderType="alphabetAsc",
-        handleInvalid="keep",
-    )
-
-
-def fit_encoder(df: DataFrame, cols) -> StringIndexerModel:
-    return label_encoder(cols).fit(df)
-
-
 def split_key(seed: int = S.SPLIT_SEED):
     return C.seeded_order_key(S.ID, seed)
 
@@ -94,6 +79,13 @@ def stratified_split(
     ).drop("_key", "_c", "_b", "_off", "_cls", "_rank")
 
 
+def stable_split(df: DataFrame, train_pct: int = int(S.TRAIN_FRACTION * 100), seed: int = S.SPLIT_SEED) -> DataFrame:
+    """Adds ``split`` by a threshold on the seeded key: no shuffle, about ``train_pct`` percent of any class, and a
+    row keeps its side when the table grows (the exact split moves rows near its cut)."""
+    place = F.conv(F.substring(split_key(seed), 1, 8), 16, 10).cast("long")
+    return df.withColumn("split", F.when(place * 100 < (1 << 32) * train_pct, F.lit("train")).otherwise(F.lit("test")))
+
+
 def split_counts(split_df: DataFrame, label: str = S.LABEL) -> DataFrame:
     return split_df.groupBy(label, "split").agg(F.count(F.lit(1)).alias("cnt"))
 

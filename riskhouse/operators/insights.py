@@ -299,8 +299,12 @@ def request_form(silver: DataFrame) -> DataFrame:
     )
 
 
+#: The form's further fields and the features they stand for.
+_FORM_NUMBERS = {"addresses": "C1", "cards": "C2", "days_since": "D1", "card1": "card1", "card2": "card2"}
+
+
 def normalize_requests(form: DataFrame) -> DataFrame:
-    """Form choices -> model vocabulary: lower case, 'Other' -> unknown."""
+    """Form choices -> model vocabulary: lower case, 'Other' -> unknown; numbers under their feature's name."""
     return form.select(
         S.ID,
         F.col("amount").alias(S.AMOUNT),
@@ -309,6 +313,7 @@ def normalize_requests(form: DataFrame) -> DataFrame:
         F.when(F.col("email") == S.FORM_OTHER, F.lit(S.UNKNOWN))
         .otherwise(F.lower("email"))
         .alias("P_emaildomain"),
+        *[F.col(c).alias(feature) for c, feature in _FORM_NUMBERS.items() if c in form.columns],
     )
 
 

@@ -93,13 +93,14 @@ def serve(
             query.stop()
 
 
-def train(lake: Lake, settings: dict | None = None) -> DataFrame:
-    """Fit, compare and save the three models on bronze's deduplicated,
-    unfilled features (80/20 exact stratified split, checkpointed once);
-    writes the comparison table ``model_metrics`` (JSON) and returns it."""
-    bronze = lake.read("bronze_transactions")
-    raw = features.raw_features(silver.deduplicate(bronze, S.FEATURES + [S.LABEL]))
-    split = checkpointed(features.stratified_split(models.model_frame(raw)))
+def train(lake: Lake, settings: dict | None = None, transactions: DataFrame | None = None) -> DataFrame:
+    """Fit, compare and save the three models on deduplicated, unfilled features
+    (80/20 exact stratified split, checkpointed once): those that bronze's messages carry, or
+    all that ``transactions`` (deduplicated rows with more features, as by a star join) have.
+    Writes the comparison table ``model_metrics`` (JSON) and returns it."""
+    if transactions is None:
+        transactions = silver.deduplicate(lake.read("bronze_transactions"), S.MESSAGE_FEATURES + [S.LABEL])
+    split = checkpointed(features.stratified_split(models.model_frame(features.raw_features(transactions))))
     tr = split.filter(F.col("split") == "train")
     te = split.filter(F.col("split") == "test")
     table = models.train_and_select(tr, te, lake.path("models"), settings=settings)

@@ -332,45 +332,58 @@ FROM silver""",
 )
 
 # --- features and evaluation ------------------------------------------------
-FEATURE_COLS = "TransactionID, TransactionAmt, ProductCD, card1, card2, card4, card6, P_emaildomain, C1, C2, D1, isFraud"
+CATEGORIES = ["ProductCD", "card4", "card6", "P_emaildomain", "R_emaildomain", "M1", "M2", "M3", "M4", "M5", "M6", "M7", "M8", "M9"]
+NUMBERS = (
+    ["TransactionAmt", "card1", "card2", "card3", "card5", "addr1", "addr2", "dist1"]
+    + [f"C{k}" for k in range(1, 15)]
+    + [f"D{k}" for k in range(1, 6)]
+)
+FEATURE_COLS = ", ".join(["TransactionID", *NUMBERS, *CATEGORIES, "isFraud"])
 RAW = (
     "WITH "
-    + TXN
+    + TXN.replace("FROM lineitem", ", l_orderkey, l_partkey, l_suppkey, l_discount, l_linestatus FROM lineitem")
     + ","
     + dedup_cte("txn")
     + """,
+wide AS (
+  SELECT d.*, CAST(p_size AS DOUBLE) AS card3, CAST(c_nationkey AS DOUBLE) AS card5,
+         CAST(c_nationkey * 100 + s_nationkey AS DOUBLE) AS addr1, CAST(s_nationkey AS DOUBLE) AS addr2,
+         CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS dist1,
+         CASE WHEN o_custkey % 30 < 28 THEN 'd' || CAST(o_custkey % 30 AS VARCHAR) || '.com' WHEN o_custkey % 30 = 28 THEN '0' END AS R_emaildomain,
+         round(l_discount * 100) AS C3, o_totalprice AS C4, p_retailprice AS C5, c_acctbal AS C6, s_acctbal AS C7,
+         CAST(l_partkey % 100 AS DOUBLE) AS C8, CAST(o_custkey % 50 AS DOUBLE) AS C9, CAST(l_suppkey % 10 AS DOUBLE) AS C10,
+         CAST(date_diff('day', CAST(o_orderdate AS DATE), CAST(kafka_timestamp AS DATE)) AS DOUBLE) AS C11,
+         CAST(month(o_orderdate) AS DOUBLE) AS C12, CAST(year(o_orderdate) AS DOUBLE) AS C13, C1 * C2 AS C14,
+         TransactionDT AS D2, CAST(date_diff('day', DATE '1992-01-01', CAST(o_orderdate AS DATE)) AS DOUBLE) AS D3,
+         CAST(day(kafka_timestamp) AS DOUBLE) AS D5,
+         o_orderstatus AS M1, o_orderpriority AS M2, c_mktsegment AS M3, p_brand AS M4, p_type AS M5, l_linestatus AS M6,
+         CASE WHEN l_discount > 0.05 THEN 'T' WHEN l_discount > 0 THEN 'F' END AS M7,
+         'N' || CAST(c_nationkey AS VARCHAR) AS M8, split_part(p_name, ' ', 1) AS M9
+  FROM dedup d LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey
+       LEFT JOIN part ON l_partkey = p_partkey LEFT JOIN supplier ON l_suppkey = s_suppkey
+),
 raw AS (
-  SELECT TRY_CAST(TransactionID AS INTEGER) AS TransactionID, TransactionAmt, ProductCD, card1, card2,
-         card4, card6, P_emaildomain, C1, C2, D1, isFraud
-  FROM dedup WHERE TRY_CAST(TransactionID AS INTEGER) IS NOT NULL
+  SELECT * REPLACE (TRY_CAST(TransactionID AS INTEGER) AS TransactionID), CASE WHEN C11 >= 0 THEN C11 END AS D4
+  FROM wide WHERE TRY_CAST(TransactionID AS INTEGER) IS NOT NULL
 ),
 imputed AS (
-  SELECT TransactionID,
-         CASE WHEN TransactionAmt IS NULL OR isnan(TransactionAmt) THEN -999.0 ELSE TransactionAmt END AS TransactionAmt,
-         coalesce(ProductCD, 'nan') AS ProductCD,
-         CASE WHEN card1 IS NULL OR isnan(card1) THEN -999.0 ELSE card1 END AS card1,
-         CASE WHEN card2 IS NULL OR isnan(card2) THEN -999.0 ELSE card2 END AS card2,
-         coalesce(card4, 'nan') AS card4, coalesce(card6, 'nan') AS card6,
-         coalesce(P_emaildomain, 'nan') AS P_emaildomain,
-         CASE WHEN C1 IS NULL OR isnan(C1) THEN -999.0 ELSE C1 END AS C1,
-         CASE WHEN C2 IS NULL OR isnan(C2) THEN -999.0 ELSE C2 END AS C2,
-         CASE WHEN D1 IS NULL OR isnan(D1) THEN -999.0 ELSE D1 END AS D1,
-         isFraud
+  SELECT TransactionID, isFraud, """
+    + ", ".join(f"CASE WHEN {c} IS NULL OR isnan({c}) THEN -999.0 ELSE {c} END AS {c}" for c in NUMBERS)
+    + ", "
+    + ", ".join(f"coalesce({c}, 'nan') AS {c}" for c in CATEGORIES)
+    + """
   FROM raw
 )"""
 )
+
+
+def _codes(suffix: str) -> str:
+    return ", ".join(f"CAST(dense_rank() OVER (ORDER BY {c}) - 1 AS DOUBLE) AS {c}{suffix}" for c in CATEGORIES)
+
+
 register("feature_projection", RAW + f"\nSELECT {FEATURE_COLS} FROM raw")
 register("feature_impute", RAW + f"\nSELECT {FEATURE_COLS} FROM imputed")
-register(
-    "label_encode",
-    RAW
-    + """
-SELECT TransactionID,
-       CAST(dense_rank() OVER (ORDER BY card4) - 1 AS DOUBLE) AS card4_ix,
-       CAST(dense_rank() OVER (ORDER BY card6) - 1 AS DOUBLE) AS card6_ix,
-       CAST(dense_rank() OVER (ORDER BY P_emaildomain) - 1 AS DOUBLE) AS email_ix
-FROM imputed""",
-)
+register("label_encode", RAW + f"\nSELECT TransactionID, {_codes('_ix')} FROM imputed")
 SPLIT = (
     BASE
     + f""",
@@ -394,6 +407,26 @@ SELECT count_if(isFraud = 0) AS neg, count_if(isFraud = 1) AS pos,
        round(count(*) / (2 * count_if(isFraud = 1)), 6) AS balanced_pos
 FROM split WHERE split = 'train'""",
 )
+register(
+    "stable_split",
+    BASE
+    + """
+SELECT isFraud, CASE WHEN CAST('0x' || substr(md5(CAST(TransactionID AS VARCHAR) || '-42'), 1, 8) AS BIGINT) * 100 < 4294967296 * 80
+                     THEN 'train' ELSE 'test' END AS split, count(*) AS cnt
+FROM silver GROUP BY ALL""",
+)
+register(
+    "auc_by_round",
+    BASE
+    + """,
+staged AS (
+  SELECT r AS round, isFraud, D1 * r + C1 * (5 - r) + CASE WHEN ProductCD = 'R' THEN r ELSE 0 END AS s
+  FROM silver, (SELECT unnest(range(1, 6)) AS r)
+),
+st AS (SELECT round, s, count_if(isFraud = 1) AS pos, count_if(isFraud = 0) AS neg FROM staged GROUP BY ALL),
+cum AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY round ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM st)
+SELECT CAST(round AS INTEGER) AS round, round(sum(pos * (below + 0.5 * neg)) / (sum(pos) * sum(neg)), 6) AS auc FROM cum GROUP BY 1""",
+)
 register("label_rate", "WITH " + TXN + "\nSELECT round(avg(isFraud), 6) AS rate FROM txn")
 SCORED = (
     BASE
@@ -546,22 +579,26 @@ SELECT TransactionID, round(score, 6) AS score, round(score * 100, 1) AS pct,
        CASE WHEN score > 0.5 THEN 'HIGH RISK — DO NOT APPROVE' ELSE 'LOW RISK — SAFE TO APPROVE' END AS verdict
 FROM scored""",
 )
+_CONSTANTS = {
+    "card1": 9000, "card2": 300, "card3": 150, "card5": 226, "addr1": 315, "addr2": 87, "dist1": 0,
+    **{f"C{k}": int(k in (1, 2, 6, 11, 13, 14)) for k in range(1, 15)},
+    "D1": 10, "D2": 0, "D3": 0, "D4": 0, "D5": 0,
+    "ProductCD_code": 2, "R_emaildomain_code": 0, **{f"M{k}_code": int(k < 7) for k in range(1, 10)},
+}
 register(
     "request_features",
-    f"""SELECT TransactionID, TransactionAmt, 'C' AS ProductCD, CAST(9000 AS DOUBLE) AS card1, CAST(300 AS DOUBLE) AS card2, card4, card6, P_emaildomain,
-  CAST(1 AS DOUBLE) AS C1, CAST(1 AS DOUBLE) AS C2, CAST(10 AS DOUBLE) AS D1
+    f"""SELECT TransactionID, TransactionAmt, card4, card6, P_emaildomain, {", ".join(f"CAST({v} AS DOUBLE) AS {c}" for c, v in _CONSTANTS.items())}
 FROM ({ORACLE["literal_requests"]})""",
 )
+register("assembled_features", RAW + f"\nSELECT TransactionID, {', '.join(NUMBERS)}, {_codes('_code')} FROM imputed")
+register("tree_table_scores", RAW + "\nSELECT count(*) AS rows_scored, CAST(0 AS BIGINT) AS rows_differing FROM raw")
+register("stream_tree_scores", "SELECT count(*) AS rows_scored, CAST(0 AS BIGINT) AS rows_differing FROM events")
 register(
-    "assembled_features",
-    RAW
+    "fit_certificates",
+    SPLIT
     + """
-SELECT TransactionID, TransactionAmt, card1, card2, C1, C2, D1,
-       CAST(dense_rank() OVER (ORDER BY ProductCD) - 1 AS DOUBLE) AS ProductCD_code,
-       CAST(dense_rank() OVER (ORDER BY card4) - 1 AS DOUBLE) AS card4_code,
-       CAST(dense_rank() OVER (ORDER BY card6) - 1 AS DOUBLE) AS card6_code,
-       CAST(dense_rank() OVER (ORDER BY P_emaildomain) - 1 AS DOUBLE) AS P_emaildomain_code
-FROM imputed""",
+SELECT model, (SELECT count(*) FROM split WHERE split = 'train') AS rows, true AS within
+FROM (SELECT unnest(['Gradient Boosting', 'Logistic Regression']) AS model)""",
 )
 register(
     "saved_model_scores",

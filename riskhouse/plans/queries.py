@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskhouse import schemas as S
-from riskhouse.operators import features, gold, insights, metrics, models, silver
-from riskhouse.session import checkpointed, scratch_path
+from riskhouse.operators import dictionary, features, gold, insights, metrics, models, silver
+from riskhouse.operators.ensemble import Ensemble
+from riskhouse.session import checkpointed, file_state, scratch_path
 from riskhouse.plans import incremental
 from riskhouse.sources import fixtures, messages, tables
 from riskhouse.streaming import ingest
@@ -303,7 +304,10 @@ def fixed_score(df: DataFrame) -> DataFrame:
 
 
 def raw_features(spark, sf):
-    return features.raw_features(silver.deduplicate(txn(spark, sf), S.FEATURES + [LBL]))
+    """All features of the deduplicated transactions, by a star join with the tables they refer to."""
+    keyed = fixtures.keyed_transactions(spark, sf)
+    wanted = [*S.MESSAGE_FEATURES, LBL, S.EVENT_TIME, "TransactionDT", *[c for c in keyed.columns if c.startswith("l_")]]
+    return features.raw_features(fixtures.with_all_features(silver.deduplicate(keyed, wanted), spark, sf))
 
 
 @query("feature_projection")
@@ -318,15 +322,16 @@ def q_feature_impute(spark, sf):
 
 @query("label_encode")
 def q_label_encode(spark, sf):
-    df = checkpointed(features.impute(raw_features(spark, sf)))  # fit and transform read it once each
-    cols = ["card4", "card6", "P_emaildomain"]
-    enc = features.fit_encoder(df, cols).transform(df)
-    return enc.select(
-        S.ID,
-        F.col("card4_ix"),
-        F.col("card6_ix"),
-        F.col("P_emaildomain_ix").alias("email_ix"),
-    )
+    """Codes of all 14 categories, from a dictionary table."""
+    df = checkpointed(features.impute(raw_features(spark, sf)).select(S.ID, *S.CATEGORICAL))  # learned and encoded: read once each
+    words = dictionary.learn(df, S.CATEGORICAL)
+    enc = dictionary.encode(df, words, dictionary.sizes(words), "_ix")
+    return enc.select(S.ID, *[c + "_ix" for c in S.CATEGORICAL])
+
+
+@query("stable_split")
+def q_stable_split(spark, sf):
+    return features.split_counts(features.stable_split(silver_txn(spark, sf, LBL)))
 
 
 @query("stratified_split")
@@ -357,6 +362,14 @@ def q_classification_report(spark, sf):
     )
 
 
+@query("auc_by_round")
+def q_auc_by_round(spark, sf):
+    """AUC of a score that shifts from one feature to another over five rounds, all rounds in one plan."""
+    r = lambda k: F.col("D1") * k + F.col("C1") * (5 - k) + F.when(F.col("ProductCD") == "R", k).otherwise(0)
+    staged = silver_txn(spark, sf, LBL, "D1", "C1", "ProductCD").select(LBL, F.posexplode(F.array(*[r(k) for k in range(1, 6)])).alias("place", "score"))
+    return metrics.roc_auc_by(staged.withColumn("round", F.col("place") + 1), ["round"])
+
+
 # --- sources and sinks ------------------------------------------------------
 @query("replay_capped_scan")
 def q_replay_capped_scan(spark, sf):
@@ -483,30 +496,37 @@ def q_stream_exposure_trend(spark, sf):
 
 
 # --- models ------------------------------------------------------------------
+_fitted: dict[tuple, str] = {}
+
+
 def model_data(spark, sf) -> tuple[DataFrame, DataFrame]:
-    """Train / test parts of the deduplicated, imputed features.  The split
-    is checkpointed to the shared folder: model fitting passes over the
-    training part many times and must not recompute dedup and split."""
-    frame = models.model_frame(raw_features(spark, sf))
-    s = checkpointed(features.stratified_split(frame))
+    """Train / test parts of the deduplicated, imputed features, from a table in the shared folder: model fitting
+    passes over the training part many times and must not recompute join, dedup and split."""
+    key = _data_key(spark, sf)
+    if key not in _fitted:
+        path = scratch_path(spark, "model-data")
+        features.stratified_split(models.model_frame(raw_features(spark, sf))).write.parquet(path)
+        _fitted[key] = path
+    s = spark.read.parquet(_fitted[key])
     return s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
 
 
-_fitted: dict[tuple, tuple[str, DataFrame]] = {}
+def _data_key(spark, sf) -> tuple:
+    """The session and the state of the files that the features come from: changed tables are fitted anew."""
+    state = [file_state(spark, f"{sf.rstrip('/')}/{t}.parquet") for t in ("lineitem", "orders", "customer", "part", "supplier")]
+    return spark.sparkContext.applicationId, sf, *state
 
 
 def fitted(spark, sf, kind: str) -> tuple[str, DataFrame]:
     """Path of the model of one kind, fitted at the reference's settings, and
-    the test part.  The queries of one session share a fit: the path of a saved
-    model is all that is kept."""
-    key = (spark.sparkContext.applicationId, sf, kind)
+    the test part.  The queries of one session share a fit: paths are all that is kept."""
+    train, test = model_data(spark, sf)
+    key = (*_data_key(spark, sf), kind)
     if key not in _fitted:
-        data = _fitted.get(key[:2]) or model_data(spark, sf)
-        _fitted[key[:2]] = data
         path = scratch_path(spark, f"model-{kind}")
-        models.save(models.fit(kind, data[0]), path)
-        _fitted[key] = (path, data[1])
-    return _fitted[key]
+        models.save(models.fit(kind, train), path)
+        _fitted[key] = path
+    return _fitted[key], test
 
 
 def held_out_auc(spark, sf, kind: str) -> DataFrame:
@@ -543,6 +563,8 @@ def q_model_comparison(spark, sf):
     return comparison(spark, sf)
 
 
+#: Largest gradient (of a mean log-loss, in spreads of the feature) that counts as nil.
+GRADIENT = 1e-3
 FIXED_SCORES = {"amount": AMT, "card": "card1", "fixed": "score"}
 
 
@@ -582,19 +604,19 @@ def q_verdict_fixed_score(spark, sf):
 
 @query("request_features")
 def q_request_features(spark, sf):
-    """Form requests normalised, with the form's constants for the fields they lack."""
-    return models.request_frame(q_literal_requests(spark, sf)).select(S.ID, *S.FEATURES)
+    """Form requests normalised, with the form's constants (codes, for categories it does not ask for) for the fields they lack."""
+    return models.request_frame(q_literal_requests(spark, sf)).select(S.ID, *S.REQUEST_DEFAULTS, *[c + "_code" for c in S.REQUEST_CODES])
 
 
 @query("assembled_features")
 def q_assembled_features(spark, sf):
     """The assembled model vector as an array column, with the codes as numbers."""
     frame = checkpointed(models.model_frame(raw_features(spark, sf)))
-    stages = models.pipeline("lr").getStages()[:-1]
-    out = Pipeline(stages=stages).fit(frame).transform(frame)
+    words = dictionary.learn(frame, S.CATEGORICAL)
+    out = Pipeline(stages=models.pipeline("lr").getStages()[:-1]).fit(frame.limit(0).withColumns({c + "_code": F.lit(0.0) for c in S.CATEGORICAL}))
+    out = out.transform(dictionary.encode(frame, words, dictionary.sizes(words)))
     v = vector_to_array("features")
-    names = S.NUMERIC_FEATURES + [c + "_code" for c in S.CATEGORICAL]
-    return out.select(S.ID, *[v[i].alias(n) for i, n in enumerate(names)])
+    return out.select(S.ID, *[v[i].alias(n) for i, n in enumerate(models.vector_columns(S.FEATURES))])
 
 
 @query("saved_model_scores")
@@ -619,6 +641,48 @@ def _all_scored(spark, sf) -> DataFrame:
     return models.verdict(models.score(models.load(path), models.request_frame(raw_features(spark, sf).drop(LBL))))
 
 
+def _compared(model: models.FraudModel, frame: DataFrame) -> DataFrame:
+    """Each row's score by the ML pipeline (a) and by the table of its trees (b)."""
+    rows = models.score(model, frame).withColumnRenamed("score", "a")
+    return rows.withColumn("b", Ensemble(model.trees()).probability(model.vector())).select(S.ID, "a", "b")
+
+
+def _differing(rows: DataFrame) -> DataFrame:
+    return rows.agg(F.count(F.lit(1)).alias("rows_scored"), F.count_if(~(F.abs(F.col("a") - F.col("b")) < 1e-9)).alias("rows_differing"))
+
+
+@query("tree_table_scores")
+def q_tree_table_scores(spark, sf):
+    """Transactions whose score from the table of the fitted trees differs from the pipeline's."""
+    model = models.load(fitted(spark, sf, "gbt")[0], spark)
+    return _differing(_compared(model, models.request_frame(raw_features(spark, sf).drop(LBL))))
+
+
+@query("stream_tree_scores")
+def q_stream_tree_scores(spark, sf):
+    """The same for event messages scored as they stream in."""
+    model, out = models.load(fitted(spark, sf, "gbt")[0], spark), scratch_path(spark, "scores")
+    parsed = messages.parse_messages(ingest.message_stream(spark, _landing(spark, sf, redeliver=False))).drop(LBL)
+    w = _compared(model, models.request_frame(parsed)).writeStream.format("parquet").option("path", out)
+    ingest.run(w.option("checkpointLocation", scratch_path(spark, "ckpt-scores")).trigger(availableNow=True).start())
+    return _differing(spark.read.schema(f"{S.ID} int, a double, b double").parquet(out))
+
+
+@query("fit_certificates")
+def q_fit_certificates(spark, sf):
+    """Rows of the training part and whether the fits hold what they must: the logistic regression's gradient is
+    nil at its coefficients, and the first boosted tree's leaves hold the weighted mean of their rows' labels."""
+    train, _ = model_data(spark, sf)
+    checks = [("gbt", models.first_tree_check, 1e-9), ("lr", models.gradient_check, GRADIENT)]
+    parts = [
+        check(models.load(fitted(spark, sf, kind)[0], spark), train).select(
+            F.lit(models.MODEL_NAMES[kind]).alias("model"), "rows", (F.col("violation") < most).alias("within")
+        )
+        for kind, check, most in checks
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 @query("score_batch")
 def q_score_batch(spark, sf):
     return _all_scored(spark, sf).select(S.ID, F.round("score", 6).alias("score"))

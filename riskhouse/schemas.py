@@ -98,11 +98,14 @@ GOLD_PARTIALS_SCHEMA = StructType(
        StructField("fraud_amt_sum", D), StructField("fraud_amt_n", L)]
 )
 
-# Internal: silver's survivors by bucket of the id, which survivor (id, batch) a later batch replaces,
-# and the messages without a usable id, with their text.
+# Internal: silver's survivors by bucket of the id, with the batch whose survivor each replaces (and what
+# gold summed of that one), and the messages without a usable id, with their text.
 BUCKET = StructField("bucket", IntegerType())
-SURVIVORS_SCHEMA = StructType(SILVER_SCHEMA.fields + [StructField("raw_id", D), StructField("nulls", L), BUCKET])
-SUPERSEDED_SCHEMA = StructType([StructField("raw_id", D), StructField("of_batch", S), BUCKET])
+SUMMED = [StructField("card4", S), StructField("P_emaildomain", S), StructField(AMOUNT, D), StructField(LABEL, D)]
+SURVIVORS_SCHEMA = StructType(
+    [*SILVER_SCHEMA.fields, StructField("raw_id", D), StructField("nulls", L),
+     StructField("of_batch", S), StructField("was", StructType(SUMMED)), BUCKET]
+)
 QUARANTINE_SCHEMA = StructType(BRONZE_SCHEMA.fields + [StructField("raw", S), StructField("reason", S)])
 
 TABLES: dict[str, StructType] = {
@@ -114,12 +117,11 @@ TABLES: dict[str, StructType] = {
     "gold_overall_summary": GOLD_SUMMARY_SCHEMA,
     "gold_partials": GOLD_PARTIALS_SCHEMA,
     "silver_survivors": SURVIVORS_SCHEMA,
-    "silver_superseded": SUPERSEDED_SCHEMA,
     "silver_quarantine": QUARANTINE_SCHEMA,
 }
 # Tables of named batches of which only committed ones are read, and those cut into buckets of the id.
-COMMITTED = ["silver_survivors", "silver_superseded", "gold_partials"]
-BUCKETED = ["silver_survivors", "silver_superseded"]
+COMMITTED = ["silver_survivors", "gold_partials"]
+BUCKETED = ["silver_survivors"]
 
 # --- fixed values (must equal the reference's for identical results) -------
 # Defaults for missing text fields in silver, and the sentinel text the
@@ -151,37 +153,39 @@ HISTOGRAM_CAP = 500.0
 HISTOGRAM_WIDTH = 10.0
 SPLIT_SEED = 42
 TRAIN_FRACTION = 0.8
-# What the scoring form fills in for fields that a request lacks.
+# What the scoring form fills in for fields that a request lacks: numbers, texts, and for categories that
+# it does not ask for the code itself.
 REQUEST_DEFAULTS = {
-    "TransactionAmt": 250.0,
-    "ProductCD": "C",
-    "card1": 9000.0,
-    "card2": 300.0,
-    "card4": "unknown",
-    "card6": "unknown",
-    "P_emaildomain": "unknown",
-    "C1": 1.0,
-    "C2": 1.0,
-    "D1": 10.0,
+    "TransactionAmt": 250.0, "card1": 9000.0, "card2": 300.0, "card3": 150.0, "card5": 226.0,
+    "card4": "unknown", "card6": "unknown", "P_emaildomain": "unknown",
+    "addr1": 315.0, "addr2": 87.0, "dist1": 0.0,
+    "C1": 1.0, "C2": 1.0, "C3": 0.0, "C4": 0.0, "C5": 0.0, "C6": 1.0, "C7": 0.0, "C8": 0.0, "C9": 0.0,
+    "C10": 0.0, "C11": 1.0, "C12": 0.0, "C13": 1.0, "C14": 1.0,
+    "D1": 10.0, "D2": 0.0, "D3": 0.0, "D4": 0.0, "D5": 0.0,
+}
+REQUEST_CODES = {
+    "ProductCD": 2.0, "R_emaildomain": 0.0,
+    "M1": 1.0, "M2": 1.0, "M3": 1.0, "M4": 1.0, "M5": 1.0, "M6": 1.0, "M7": 0.0, "M8": 0.0, "M9": 0.0,
 }
+# The full feature matrix, in order, and which of it are categories.
+FEATURES = [
+    "TransactionAmt", "ProductCD", "card1", "card2", "card3", "card4", "card5", "card6",
+    "addr1", "addr2", "dist1", "P_emaildomain", "R_emaildomain",
+    *[f"C{k}" for k in range(1, 15)], *[f"D{k}" for k in range(1, 6)], *[f"M{k}" for k in range(1, 10)],
+]
+CATEGORICAL = ["ProductCD", "card4", "card6", "P_emaildomain", "R_emaildomain", *[f"M{k}" for k in range(1, 10)]]
 # Rows of the capped replay.
 CAPPED_ROWS = 10_000
 # Why a message is in the quarantine.
 REJECT_MALFORMED, REJECT_NO_ID, REJECT_RANGE = "malformed", "no id", "id out of range"
 # --- end of fixed values ---------------------------------------------------
 
-# Model features of the fixture (see FIXTURES.md) and which are categorical.
-FEATURES = [
-    "TransactionAmt",
-    "ProductCD",
-    "card1",
-    "card2",
-    "card4",
-    "card6",
-    "P_emaildomain",
-    "C1",
-    "C2",
-    "D1",
-]
-CATEGORICAL = ["ProductCD", "card4", "card6", "P_emaildomain"]
 NUMERIC_FEATURES = [c for c in FEATURES if c not in CATEGORICAL]
+# The features that a message carries (the others come from tables it refers to).
+MESSAGE_FEATURES = [c for c in FEATURES if c in MESSAGE_COLUMNS]
+# A scoring request as the form sends it.
+REQUEST_SCHEMA = StructType(
+    [StructField(ID, IntegerType()), StructField("amount", D), StructField("card_network", S), StructField("card_category", S),
+     StructField("email", S), StructField("addresses", D), StructField("cards", D), StructField("days_since", D),
+     StructField("card1", D), StructField("card2", D)]
+)

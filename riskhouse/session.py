@@ -71,6 +71,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/riskhouse/{name}-{uuid.uuid4().hex}"
 
 
+def file_state(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of a table's files: equal states are the same content."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(at)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files))
+
+
 def recommended_conf(input_bytes: int, partition_bytes: int = 256 * 1024**2) -> dict[str, str]:
     """Settings that size scans and shuffles to the input, for cluster runs.
 

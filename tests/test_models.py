@@ -4,7 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskhouse import schemas as S
-from riskhouse.operators import features, models, silver
+from riskhouse.operators import dictionary, features, models
+from riskhouse.operators.ensemble import Ensemble
+from riskhouse.operators.ordered import running
+from riskhouse.plans import queries
 from riskhouse.session import checkpointed, scratch_path
 from riskhouse.sources import fixtures
 from tests.conftest import MEDIUM
@@ -19,7 +22,7 @@ QUICK = {
 
 @pytest.fixture(scope="module")
 def parts(spark):
-    raw = features.raw_features(silver.deduplicate(fixtures.transactions(spark, MEDIUM)))
+    raw = queries.raw_features(spark, MEDIUM)
     s = checkpointed(features.stratified_split(models.model_frame(raw)))
     return s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
 
@@ -48,7 +51,7 @@ def test_save_load_same_scores_and_verdict(spark, parts):
 
 def test_unseen_categories_score(spark, parts):
     train, _ = parts
-    m = models.fit("lr", train, QUICK["lr"])
+    m = models.fit("lr", train.drop("split"), QUICK["lr"], S.MESSAGE_FEATURES)
     ev = fixtures.event_transactions(spark, "/root/testdata/sf0.001")
     scored = models.score(m, models.model_frame(ev))
     assert scored.filter(F.col("score").isNull()).count() == 0
@@ -73,7 +76,7 @@ def test_full_settings_are_the_default():
 
 def test_any_vocabulary_size_fits_and_unlabelled_requests_score(spark):
     rows = [(i, float(i % 97), "C", 1.0, 2.0, "visa", "debit", f"d{i % 500}.com", 1.0, 1.0, float(i % 7), float(i % 7 == 0)) for i in range(1500)]
-    names = [S.ID, *S.FEATURES, S.LABEL]
+    names = [S.ID, *S.MESSAGE_FEATURES, S.LABEL]
     train = models.model_frame(spark.createDataFrame(rows, names))
     m = models.fit("gbt", train, {"maxIter": 2, "maxDepth": 2})
     asked = spark.createDataFrame([(1, 10.0, "visa", None), (2, 20.0, "mastercard", "gmail.com")], f"{S.ID} int, {S.AMOUNT} double, card4 string, P_emaildomain string")
@@ -94,3 +97,75 @@ def test_auc_by_boosting_round(parts):
     rows = models.boosting_auc(m, test, every=4).collect()
     assert [r["round"] for r in rows] == [4, 8, 10]
     assert abs(rows[-1]["auc"] - models.auc_of(m, test)) <= 1e-4 and all(r["auc"] > 0.5 for r in rows)
+
+
+def test_dictionary_is_sorted_dense_and_keeps_unseen(spark):
+    rows = [("b", "é"), ("a", "z"), ("B", None), ("a", "\U0001f600"), ("", "zz"), (None, "\uffff")]
+    df = spark.createDataFrame(rows * 50, "c string, d string").repartition(7)
+    words = dictionary.learn(df, ["c", "d"])
+    got = {c: [r["value"] for r in words.where(F.col("column") == c).orderBy("code").collect()] for c in ("c", "d")}
+    assert got == {"c": ["", "B", "a", "b"], "d": ["z", "zz", "é", "\uffff", "\U0001f600"]}  # by code point
+    assert dictionary.sizes(words) == {"c": 4, "d": 5}
+    new = spark.createDataFrame([("a", "new"), (None, "z")], "c string, d string")
+    out = {(r["c_code"], r["d_code"]) for r in dictionary.encode(new, words, {"c": 4, "d": 5}).collect()}
+    assert out == {(2.0, 5.0), (4.0, 0.0)}
+    assert dictionary.learn(df.limit(0), ["c", "d"]).count() == 0
+
+
+def test_large_dictionary_needs_no_driver(spark):
+    df = spark.range(200_000).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("c"))
+    words = dictionary.learn(df, ["c"])
+    assert words.count() == 200_000 and words.agg(F.min("code"), F.max("code"), F.count_distinct("code")).first() == (0.0, 199_999.0, 200_000)
+    wrong = words.crossJoin(spark.range(1)).sort("value").limit(1000).collect()
+    assert all(r["code"] == k for k, r in enumerate(wrong))
+
+
+def test_running_sums_equal_a_window(spark):
+    from pyspark.sql import Window
+
+    df = spark.range(5000).select((F.col("id") % 3).alias("g"), (F.col("id") * 7919 % 5003).alias("o"), (F.col("id") % 11).alias("v"))
+    plain = df.withColumn("t", F.coalesce(F.sum("v").over(Window.partitionBy("g").orderBy("o").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    assert sorted(running(df, ["g"], ["o"], F.col("v"), "t").select("g", "o", "v", "t").collect()) == sorted(plain.collect())
+
+
+def test_trees_as_a_table_score_alike(spark, parts):
+    train, test = parts
+    m = models.fit("gbt", train, QUICK["gbt"])
+    both = models.score(m, test).select(S.ID, F.col("score").alias("a")).join(models.table_scores(m, test).select(S.ID, "score"), S.ID)
+    assert both.count() == test.count() and both.where(~(F.abs(F.col("a") - F.col("score")) < 1e-9)).count() == 0
+    nodes = m.trees()
+    assert nodes.select("tree").distinct().count() == QUICK["gbt"]["maxIter"] and Ensemble(nodes).depth <= QUICK["gbt"]["maxDepth"]
+    found = models.first_tree_check(m, train).first()
+    assert found["rows"] == train.count() and found["violation"] < 1e-9
+    wrong = models.first_tree_check(m, train, "equal").first()  # other weights give other leaves
+    assert wrong["violation"] > 1e-3
+    plan = models.table_scores(m, test)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
+
+
+def test_gradient_is_nil_at_the_optimum_only(parts):
+    train, _ = parts
+    good = models.gradient_check(models.fit("lr", train), train).first()
+    early = models.gradient_check(models.fit("lr", train, {"maxIter": 1}), train).first()
+    assert good["rows"] == train.count() and good["violation"] < queries.GRADIENT < early["violation"]
+
+
+def test_typed_requests_reach_the_scorer(spark, parts):
+    from riskhouse.operators import insights
+
+    train, _ = parts
+    m = models.fit("gbt", train, QUICK["gbt"])
+    rows = [(1, 250.0, "Visa", "Debit", "gmail.com", 1.0, 1.0, 10.0, 9000.0, 300.0), (2, None, "Mastercard", "Credit", "Other", 0.0, 10.0, 0.0, 1000.0, None)]
+    form = spark.createDataFrame(rows, S.REQUEST_SCHEMA)
+    frame = models.request_frame(insights.normalize_requests(form))
+    one, two = frame.orderBy(S.ID).collect()
+    assert (one.card4, one.card6, one.P_emaildomain, one.C1, one.D1, one.ProductCD_code, one.M7_code, one.addr1) == ("visa", "debit", "gmail.com", 1.0, 10.0, 2.0, 0.0, 315.0)
+    assert (two.P_emaildomain, two[S.AMOUNT], two.card2, two.C2) == ("unknown", -999.0, -999.0, 10.0)
+    out = models.verdict(models.score(m, frame)).collect()
+    assert len(out) == 2 and all(0 <= r.score <= 1 for r in out)
+
+
+def test_stable_split_keeps_sides(spark):
+    small, large = (features.stable_split(spark.range(n).withColumnRenamed("id", S.ID)) for n in (5000, 20000))
+    assert small.join(large.withColumnRenamed("split", "other"), S.ID).where("split <> other").count() == 0
+    assert 0.78 < large.where("split = 'train'").count() / 20000 < 0.82
