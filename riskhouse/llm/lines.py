@@ -4,15 +4,17 @@ A document is the sequence of its lines that are not blank.  Round k of the pref
 the class of the 2^k lines that begin there: round 0 by the line's hash, round k+1 by the pair of the classes at the position and 2^k
 lines on.  A class is named by its first position in the corpus (by doc_id, then line), which is the suffix array's
 group of suffixes whose longest common prefix is at least 2^k lines; positions whose class has one member leave, since they begin
-no repeated run of that length.  Overlapping and adjoining windows of the classes make up the maximal repeated runs.
+no repeated run of that length.  A run of any length L from 2^k to 2^(k+1) is named by two classes of round k, of its first and its last
+2^k lines, which overlap.
 
-A window is a later copy if its class begins earlier and it has MIN_CHARS characters or more (a lone short line
-repeats by chance); all its lines are deleted, so the first copy of every run stays.  Rounds end when no repeated window is
-short of MIN_CHARS any more: longer windows are unions of deleted ones then.
+A run of lines that stands earlier in the corpus too is a later copy, and all its lines are deleted if it has MIN_CHARS characters or more (a
+lone short line repeats by chance); the first copy of every run stays.  Every part of a later copy is one, so the lines to delete are
+those in later copies that cannot lose their first or their last line without falling below MIN_CHARS: at most two such
+runs end or begin at a line, none is longer than MIN_CHARS lines, and the rounds end there.
 
 Edge cases: a null text has no lines and stays null; blank lines take no part and stay; rows equal in doc_id and text are the
 same document and keep the same lines; a null doc_id comes after all others; equal ids with different texts are told apart by the
-text's hash; an empty table gives an empty result; other columns pass through.
+text's hash; an empty table gives an empty result; other columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,45 +35,78 @@ def _keyed(docs: DataFrame, text: str, key: str) -> DataFrame:
     return docs.withColumns({"_d": F.coalesce(F.col(key).cast("long"), F.lit(2**63 - 1)), "_t": F.xxhash64(text)})
 
 
-def _classes(rows: DataFrame, by: list[str]) -> DataFrame:
-    """The rows of classes with two members or more, with the class's first position as fd, ft, fi.
+def _classes(rows: DataFrame, by: list[str], keep: list[str]) -> DataFrame:
+    """The rows of classes with two members or more, with the class's first position as fd, ft, fi, and the columns ``keep``.
 
     Map tasks combine first, so a common line costs a row per task; the join back deals out a hot class as any skewed join.
     """
-    first = rows.groupBy(*by).agg(F.min(F.struct(*_AT)).alias("f"), F.count("*").alias("n")).where("n > 1")
+    first = rows.groupBy(*by).agg(F.min(F.struct(*_AT)).alias("f"), F.count("*").alias("n_rows")).where("n_rows > 1")
     first = first.select(*by, F.col("f._d").alias("nd"), F.col("f._t").alias("nt"), F.col("f.i").alias("ni"))
-    return rows.join(first, by).select(*_AT, "line", "chars", F.col("nd").alias("fd"), F.col("nt").alias("ft"), F.col("ni").alias("fi"))
+    return rows.join(first, by).select(*_AT, *keep, F.col("nd").alias("fd"), F.col("nt").alias("ft"), F.col("ni").alias("fi"))
 
 
-def repeated_windows(docs: DataFrame, text: str = "text", key: str = "doc_id"):
-    """Rounds of the doubling: for k = 0, 1, ... the number of lines 2^k and the repeated windows
-    (_d, _t, i, line, chars, fd, ft, fi), until none is shorter than MIN_CHARS."""
+def _least(sizes, begin, end, step: int):
+    """Number of lines from ``begin`` on (backwards: step -1) to ``end`` that make up MIN_CHARS characters; null if they do not."""
+    part = F.slice(sizes, begin, end - begin + 1)
+    part = F.reverse(part) if step < 0 else part
+    grown = F.aggregate(
+        part,
+        F.struct(F.lit(0).alias("n"), F.lit(0).alias("sum")),
+        lambda a, x: F.when(a["sum"] >= MIN_CHARS, a).otherwise(F.struct((a["n"] + 1).alias("n"), (a["sum"] + x).alias("sum"))),
+    )
+    return F.when(grown["sum"] >= MIN_CHARS, grown["n"])
+
+
+def _lines(docs: DataFrame, text: str, key: str) -> DataFrame:
+    """A row a line: _d, _t, i (among lines that are not blank), line, h, g; ``ahead``, ``back``: lengths of
+    the least runs of MIN_CHARS characters that begin and end there (null: none)."""
     solid = F.filter(F.transform(F.split(text, "\n", -1), lambda s, n: F.struct(n.alias("line"), s.alias("s"))), lambda x: x["s"].rlike(_SOLID))
-    rows = _keyed(docs, text, key).select("_d", "_t", F.posexplode(solid).alias("i", "x"))
-    rows = rows.select(*_AT, F.col("x.line").alias("line"), F.length("x.s").alias("chars"), F.xxhash64("x.s").alias("h"), F.hash("x.s").alias("g"))
-    # rows equal in id and text are one document
-    window, lines = shared_checkpoint(_classes(rows, ["h", "g"]).dropDuplicates(_AT)), 1
-    while True:
-        yield lines, window
-        if window.where(F.col("chars") < MIN_CHARS).isEmpty():
-            return
-        then = window.select("_d", "_t", (F.col("i") - lines).alias("i"), F.col("chars").alias("c"), F.col("fd").alias("gd"), F.col("ft").alias("gt"), F.col("fi").alias("gi"))
-        pairs = window.join(then, _AT).withColumn("chars", F.col("chars") + F.col("c"))
-        window, lines = shared_checkpoint(_classes(pairs, ["fd", "ft", "fi", "gd", "gt", "gi"])), 2 * lines
+    rows = _keyed(docs, text, key).select("_d", "_t", solid.alias("x")).withColumn("c", F.transform("x", lambda x: F.length(x["s"])))
+    rows = rows.select("_d", "_t", "c", F.posexplode("x").alias("i", "x"))
+    i, size = F.col("i"), F.length("x.s")
+    ahead = _least(F.col("c"), i + 1, F.least(i + MIN_CHARS, F.size("c")), 1)
+    back = _least(F.col("c"), F.greatest(i + 2 - MIN_CHARS, F.lit(1)), i + 1, -1)
+    one = size >= MIN_CHARS  # nearly all lines
+    return rows.select(
+        *_AT, F.col("x.line").alias("line"), F.xxhash64("x.s").alias("h"), F.hash("x.s").alias("g"),
+        F.when(one, 1).otherwise(ahead).alias("ahead"), F.when(one, 1).otherwise(back).alias("back"),
+    )
+
+
+def later_runs(docs: DataFrame, text: str = "text", key: str = "doc_id") -> tuple[DataFrame, list[DataFrame]]:
+    """The lines that repeat (_d, _t, i, line, ahead, back), and for each round k the least runs (_d, _t, i, n) of
+    2^k to 2^(k+1) - 1 lines that are later copies."""
+    window = shared_checkpoint(_classes(_lines(docs, text, key), ["h", "g"], ["line", "ahead", "back"]).dropDuplicates(_AT))
+    base = window.drop("fd", "ft", "fi")
+    runs = base.where("ahead > 1").select(*_AT, F.col("ahead").alias("n"))
+    runs = runs.union(base.where("back > 1").select("_d", "_t", (F.col("i") - F.col("back") + 1).alias("i"), F.col("back").alias("n"))).distinct()
+    later = F.struct(*_AT) > F.struct(F.col("fd"), F.col("ft"), F.col("fi"))
+    found = [window.where((F.col("ahead") == 1) & later).select(*_AT, F.lit(1).alias("n"))]
+    lines, classes = 1, ["fd", "ft", "fi"]
+    while lines <= MIN_CHARS:
+        then = window.select("_d", "_t", F.col("i").alias("_j"), *[F.col(c).alias("g" + c) for c in classes])
+        if lines > 1:  # runs of lines + 1 to 2 lines - 1; of exactly ``lines`` too
+            own = runs.where(F.col("n").between(lines, 2 * lines - 1))
+            own = own.join(window.select(*_AT, *classes), _AT).withColumn("_j", F.col("i") + F.col("n") - lines)
+            named = _classes(own.join(then, ["_d", "_t", "_j"]), ["n", *classes, *["g" + c for c in classes]], ["n"])
+            found.append(named.where(later).select(*_AT, "n"))
+        if 2 * lines > MIN_CHARS:
+            break
+        pairs = window.select(*_AT, *classes).withColumn("_j", F.col("i") + lines).join(then, ["_d", "_t", "_j"])
+        window, lines = shared_checkpoint(_classes(pairs, [*classes, *["g" + c for c in classes]], [])), 2 * lines
+        if window.isEmpty():
+            break
+    return base, found
 
 
 def removed_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(_d, _t, removed): line numbers from 0, in order, that later copies of runs cover, by document."""
-    covered = None
-    base = None
-    for lines, window in repeated_windows(docs, text, key):
-        base = window.select(*_AT, "line") if base is None else base
-        later = F.struct(*_AT) > F.struct(F.col("fd"), F.col("ft"), F.col("fi"))
-        hit = window.where(later & (F.col("chars") >= MIN_CHARS)).select("_d", "_t", "i")
-        if lines > 1:
-            hit = hit.withColumn("i", F.explode(F.sequence(F.col("i"), F.col("i") + lines - 1)))
-        covered = hit if covered is None else covered.unionByName(hit)
-    covered = covered.distinct().join(base, _AT)
+    base, found = later_runs(docs, text, key)
+    hit = found[0]
+    for more in found[1:]:
+        hit = hit.unionByName(more)
+    covered = hit.select("_d", "_t", F.explode(F.sequence(F.col("i"), F.col("i") + F.col("n") - 1)).alias("i")).distinct()
+    covered = covered.join(base.select(*_AT, "line"), _AT)
     return covered.groupBy("_d", "_t").agg(F.array_sort(F.collect_list("line")).alias("removed"))
 
 
@@ -117,10 +152,10 @@ def keep_deduplicated(docs: DataFrame) -> DataFrame:
 
 
 def _oracle() -> str:
-    """Windows by their texts in DuckDB's SQL; ids are unique there."""
+    """Runs of every length by their texts in DuckDB's SQL (a line has a character, so longer ones add nothing); ids are unique there."""
     windows = " UNION ALL ".join(
         f"SELECT doc_id, i, {n} AS n, array_to_string(own[i : i + {n - 1}], chr(10)) AS w FROM (SELECT doc_id, own, unnest(generate_series(1, len(own) - {n - 1})) AS i FROM seq)"
-        for n in (1, 2, 4, 8, 16, 32)
+        for n in range(1, MIN_CHARS + 5)
     )
     return f"""
 WITH split AS (

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import itertools
+import math
 import random
 import re
 import zlib
@@ -273,7 +274,7 @@ def test_decontamination_substitutions_and_edges(spark):
     swapped = [w if k % 9 else "other" for k, w in enumerate(item)]
     texts = [prose(1, 50) + " " + " ".join(item).upper(), prose(2, 40) + "\n" + " ".join(swapped), " ".join(item[:12]) + " " + prose(3, 90), prose(4, 200), None, "", " ".join(item[16:]), " ".join(item)]
     docs = table(spark, texts)
-    bench = spark.createDataFrame([(1, " ".join(item)), (2, None), (3, "short one"), (4, " ".join(item))], "item_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, None), (3, "short one"), (4, " ".join(item)), (5, " \n")], "item_id long, text string")
     found = {(r["doc_id"], r["item_id"]): (r["start_word"], r["n_equal"]) for r in decontaminate.overlaps(docs, bench).collect()}
     assert found == {(d, k): v for k in (1, 4) for d, v in {0: (50, 30), 1: (40, 26), 2: (0, 12), 6: (-16, 14), 7: (0, 30)}.items()}
     kept = decontaminate.keep_clean(docs, bench)
@@ -282,6 +283,52 @@ def test_decontamination_substitutions_and_edges(spark):
     assert decontaminate.keep_clean(docs.limit(0), bench).count() == 0
 
 
+def brute_overlaps(docs, items):
+    """(doc, item) -> (start, equal) from the definition."""
+    out = {}
+    for d, text in enumerate(docs):
+        w = words(text)
+        for item, t in items:
+            b = words(t)
+            n = min(13, len(b))
+            least = len(b) if len(b) < 8 else math.ceil(n * 0.8)
+            found = []
+            for shift in range(-len(b), len(w) + 1):
+                equal = [0 <= shift + j < len(w) and w[shift + j] == x for j, x in enumerate(b)]
+                if b and max(sum(equal[k : k + n]) for k in range(len(b) - n + 1)) >= least:
+                    found.append((sum(equal), -shift))
+            if found:
+                n_equal, start = max(found)
+                out[d, item] = (-start, n_equal)
+    return out
+
+
+def test_decontamination_equals_the_definition(spark):
+    """Items of 1 to 30 words, quoted whole, with words replaced, and cut at either end."""
+    rng = random.Random(8)
+    items = [(k, " ".join(f"i{k}w{j}" for j in range(n))) for k, n in enumerate([1, 2, 3, 5, 7, 8, 9, 10, 10, 11, 12, 13, 14, 30])]
+    texts = []
+    for _ in range(150):
+        own = rng.choice(items)[1].split()
+        for j in rng.sample(range(len(own)), min(len(own), rng.choice([0, 0, 1, 2, 3]))):
+            own[j] = "swapped"
+        lo = rng.choice([0, 0, 0, 1, 2])
+        texts.append(" ".join([f"p{rng.randrange(50)}" for _ in range(rng.randrange(6))] + own[lo : len(own) - rng.choice([0, 0, 1])] + ["end"] * rng.randrange(2)))
+    ten = items[7][1].split()
+    texts += [" ".join(ten[:5] + ["x", "y"] + ten[7:]), items[4][1], items[0][1]]
+    got = {(r["doc_id"], r["item_id"]): (r["start_word"], r["n_equal"]) for r in decontaminate.overlaps(table(spark, texts), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == brute_overlaps(texts, items) and (150, 7) in got and (151, 4) in got and (152, 0) in got
+
+
+def test_masks_hit_every_allowed_window():
+    for n in range(8, 14):
+        allowed = n - math.ceil(n * 0.8)
+        for gone in itertools.chain.from_iterable(itertools.combinations(range(n), k) for k in range(allowed + 1)):
+            assert any(
+                all(c == "0" or i + j not in gone for j, c in enumerate(m)) for m in decontaminate.masks_of(n) for i in range(n - len(m) + 1)
+            ), (n, gone)
+
+
 def test_decontamination_by_shuffle_is_the_same(spark, monkeypatch):
     docs, bench = (spark.read.parquet(f"{ROOT}/{t}.parquet") for t in ("documents", "benchmark"))
     want = sorted(decontaminate.overlaps(docs, bench).collect())
@@ -299,7 +346,7 @@ def brute_lines(texts):
             every = t.split("\n")
             seqs[d] = [(n, s) for n, s in enumerate(every) if re.search("[^\x20\x09-\x0d]", s)]
     first, gone = {}, {}
-    for size in (1, 2, 4, 8, 16, 32):
+    for size in range(1, 120):
         for d, seq in seqs.items():
             for i in range(len(seq) - size + 1):
                 own = tuple(s for _, s in seq[i : i + size])
@@ -316,6 +363,29 @@ def test_line_dedup_equals_brute_force(spark):
     assert [got[k] for k in range(len(texts))] == brute_lines(texts)
 
 
+def test_short_runs_of_any_length_are_deleted(spark):
+    three, seven, tail = "\n".join(["run of 8"] + ["lines 23", "of eight"]), "\n".join("abcd efgh ijkl mnop qrst uvwx yzab".split()), "a line of thirty characters ok\na\nb"
+    texts = [f"own first line of {k}\n{r}\nown last line of {k}" for k, r in enumerate([three, seven, tail, three, seven, tail])]
+    got = {r["doc_id"]: r["text"] for r in lines.dedup_lines(table(spark, texts)).collect()}
+    assert [got[k] for k in range(6)] == texts[:3] + [f"own first line of {k}\nown last line of {k}" for k in (3, 4, 5)] == brute_lines(texts)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_line_dedup_equals_brute_force_on_short_lines(spark, seed):
+    rng = random.Random(seed)
+    runs = [[rng.choice(["a", "bb", "ccc", "dddd", "eeeee", "ffffffff"]) for _ in range(rng.randrange(1, 30))] for _ in range(6)]
+    texts = []
+    for _ in range(50):
+        own = []
+        for _ in range(rng.randrange(1, 4)):
+            r = rng.choice(runs)
+            lo = rng.randrange(len(r))
+            own += r[lo : lo + rng.randrange(1, 25)] + [f"x{rng.randrange(99)}"] * rng.randrange(2)
+        texts.append("\n".join(own))
+    got = {r["doc_id"]: r["text"] for r in lines.dedup_lines(table(spark, texts)).collect()}
+    assert [got[k] for k in range(len(texts))] == brute_lines(texts)
+
+
 def test_line_dedup_stage(spark):
     texts = ["first line of the corpus\nits own line here too", "first line of the corpus", "first line of the corpus\nkept", None, ""]
     docs = table(spark, texts)
