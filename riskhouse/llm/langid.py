@@ -4,10 +4,14 @@ Texts are lower-cased; each run of non-letters is one space.  Every language has
 a model of order ORDER: raw counts of the longest n-grams, and for each shorter
 one the number of different characters seen before it (its continuation count).
 Each order takes a discount n1/(n1 + 2 n2) from its counts and gives what is freed
-to the next shorter order; the shortest falls back on a uniform share.  The n-grams
-are counted by Spark over all learning rows.  A model is a set of sorted arrays of
-64-bit hashes.  A text gets the language of the lowest cross-entropy per character;
-ties go to the smaller name.
+to the next shorter order; the shortest falls back on a uniform share.  N-grams, continuation
+counts and discounts are counted by Spark over all learning rows, and every n-gram counts.  A model is a set of sorted
+arrays of 64-bit hashes.  A text gets the language of the lowest cross-entropy per character; ties go to the smaller name.
+
+The longest n-grams are dealt into blocks of about MODEL_ROWS by their two middle characters, which also settle their
+contexts and the next shorter order; pairs and single characters (bounded by the alphabets) belong to every block.  One block is
+broadcast and the texts are scored in one pass; with more n-grams, each block scores the texts in a pass of its own, and a text's costs
+are the sum over the blocks: the same scores, and neither the driver nor a worker ever holds more than a block.
 
 Rejection is calibrated on the learning rows: a text of n characters is rejected
 if its cross-entropy lies over the mean of its language by more than
@@ -16,7 +20,8 @@ A text without a letter is ``und`` and rejected.
 
 Edge cases: null and empty texts are ``und`` with score 0.0; with nothing to learn
 from, every text is; repeated rows are judged alike; a very long text is a
-block of its own; an empty table gives an empty result; other columns pass through, whatever their names.
+block of its own; an empty table gives an empty result; columns named like the four that ``score`` adds are replaced there, the
+pipeline's stage passes all columns through.
 """
 
 from __future__ import annotations
@@ -30,9 +35,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskhouse.llm import common
+from riskhouse.session import scratch_path
 
 ORDER = 4
-#: Rows of the model that the driver and each worker hold at most; beyond it the rarest n-grams (lowest counts) are left out of the model.
+#: Longest n-grams of all languages that the driver and each worker hold at a time, about.
 MODEL_ROWS = 2_000_000
 MARGIN, SIGMAS = 0.6, 8.0
 #: Characters that are handled together; their arrays take some 80 bytes each.
@@ -123,36 +129,62 @@ def count_ngrams(df: DataFrame) -> DataFrame:
     return counts.groupBy("lang", "a", "b").agg(F.sum("n").alias("n"))
 
 
+_MASK = (1 << 21) - 1
+
+
+class Statistics:
+    """What all blocks share: languages, discounts by (language, order), continuation counts of pairs and single characters."""
+
+    def __init__(self, counts: DataFrame):
+        low = lambda c: F.col(c).bitwiseAND(F.lit(_MASK))
+        n = F.count(F.lit(1)).alias("n")  # a longer n-gram counts once
+        triples = common.shared_checkpoint(counts.groupBy("lang", low("a").alias("a"), "b").agg(n))
+        pairs = triples.groupBy("lang", "b").agg(n)
+        singles = pairs.groupBy("lang", low("b").alias("b")).agg(n)
+        self.pairs, self.singles = pairs.toPandas(), singles.toPandas()
+        once, twice = F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2")
+        self.discounts = {}
+        for order, rows in ((4, counts), (3, triples), (2, pairs), (1, singles)):
+            for lang, n1, n2 in rows.groupBy("lang").agg(once, twice).collect():  # a row a language
+                self.discounts[lang, order] = float(np.clip(n1 / (n1 + 2 * n2) if n1 + 2 * n2 else 0.5, 0.1, 0.95))
+        self.langs = sorted({lang for lang, _ in self.discounts})
+        letters = max((int(x) for x in self.singles.groupby("lang").size()), default=0)
+        self.uniform = 1.0 / (letters + 1000)
+
+
+def block_of(second, third, blocks: int):
+    """The block of n-grams with these middle characters; the same for numpy arrays and Spark columns."""
+    return (second * 1_000_003 + third) % blocks
+
+
 class Model:
-    """Kneser-Ney models of all languages: for each, and each order, sorted hashes with counts."""
+    """Kneser-Ney models of all languages over the n-grams of one block: for each, and each order, sorted hashes with counts."""
 
-    def __init__(self, counts: pd.DataFrame):
-        self.langs = sorted(counts["lang"].unique())
-        self.tables, mask = [], (1 << 21) - 1
-        letters = 0
+    def __init__(self, counts: pd.DataFrame, shared: Statistics, block: int = 0, blocks: int = 1):
+        self.langs, self.uniform, self.block, self.blocks = shared.langs, shared.uniform, block, blocks
+        self.tables = []
         for lang in self.langs:
-            own = counts[counts["lang"] == lang]
-            a, b, n = (own[c].to_numpy(np.int64) for c in ("a", "b", "n"))
-            columns, orders = [a >> 21, a & mask, b >> 21, b & mask], []
-            for order in range(ORDER, 0, -1):
+            a, b, n = (counts[counts["lang"] == lang][c].to_numpy(np.int64) for c in ("a", "b", "n"))
+            longest = [a >> 21, a & _MASK, b >> 21, b & _MASK]
+            triples, first, n3 = np.unique(key(longest[1:]), return_index=True, return_counts=True)
+            pairs, singles = (t[t["lang"] == lang] for t in (shared.pairs, shared.singles))
+            b2, b1 = pairs["b"].to_numpy(np.int64), singles["b"].to_numpy(np.int64)
+            levels = [(longest, n), ([c[first] for c in longest[1:]], n3), ([b2 >> 21, b2 & _MASK], pairs["n"].to_numpy()), ([b1], singles["n"].to_numpy())]
+            orders = []
+            for order, (columns, count) in zip(range(ORDER, 0, -1), levels, strict=True):
+                if not len(count):  # no n-gram of the language in this block
+                    columns, count = [np.zeros(1, np.int64)] * order, np.zeros(1, np.int64)
+                discount = shared.discounts[lang, order]
                 hashes = key(columns)
-                if order < ORDER:  # continuation counts: each longer n-gram counts once
-                    hashes, first, n = np.unique(hashes, return_index=True, return_counts=True)
-                    columns = [c[first] for c in columns]
-                n1, n2 = np.sum(n == 1), np.sum(n == 2)
-                discount = float(np.clip(n1 / (n1 + 2 * n2) if n1 + 2 * n2 else 0.5, 0.1, 0.95))
-                before = key(columns[:-1]) if order > 1 else np.zeros(len(n), np.uint64)
+                before = key(columns[:-1]) if order > 1 else np.zeros(len(count), np.uint64)
                 contexts, inverse = np.unique(before, return_inverse=True)
-                total, types = np.bincount(inverse, n).astype(float), np.bincount(inverse)
+                total, types = np.maximum(np.bincount(inverse, count), 1e-9), np.bincount(inverse, count > 0)
                 by = np.argsort(hashes, kind="stable")
-                orders.append((hashes[by], n[by].astype(float), contexts, total, discount * types / total, discount))
-                columns = columns[1:]
-            letters = max(letters, len(orders[-1][0]))
+                orders.append((hashes[by], count[by].astype(float), contexts, total, discount * types / total, discount))
             self.tables.append(orders)
-        self.uniform = 1.0 / (letters + 1000)
         mixed = counts.drop_duplicates(["a", "b"])
         a, b = mixed["a"].to_numpy(np.int64), mixed["b"].to_numpy(np.int64)
-        columns = [a >> 21, a & mask, b >> 21, b & mask]
+        columns = [a >> 21, a & _MASK, b >> 21, b & _MASK]
         self.known = key(columns) if len(mixed) else np.zeros(0, np.uint64)
         by = np.argsort(self.known, kind="stable")
         self.known = self.known[by]
@@ -174,42 +206,56 @@ class Model:
             out[:, j] = -np.log(p)
         return out
 
-    def cross_entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Mean cost of a character by text and language, and the number of characters."""
+    def costs(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Cost of the block's n-grams by text and language, and the number of all n-grams of a text."""
         chars, off = characters(texts)
         at, go = grams(chars, off)
         codes, unique = pd.factorize(key([(chars[at] << _BITS) | chars[at + 1], (chars[at + 2] << _BITS) | chars[at + 3]]))
         first = np.zeros(len(unique), np.int64)
         first[codes[::-1]] = at[::-1]
         columns = [chars[first + k] for k in range(ORDER)]
-        wanted = key(columns)
-        where = np.minimum(np.searchsorted(self.known, wanted), max(len(self.known) - 1, 0))
-        cost = self.cost[where]
-        new = self.known[where] != wanted
-        cost[new] = self.work_out([c[new] for c in columns])
+        own = block_of(columns[1], columns[2], self.blocks) == self.block
+        cost, wanted = np.zeros((len(unique), len(self.langs)), np.float32), key([c[own] for c in columns])
+        if len(wanted):
+            where = np.minimum(np.searchsorted(self.known, wanted), max(len(self.known) - 1, 0))
+            new = self.known[where] != wanted if len(self.known) else np.ones(len(wanted), bool)
+            found = self.cost[where] if len(self.known) else np.zeros((len(wanted), len(self.langs)), np.float32)
+            found[new] = self.work_out([c[own][new] for c in columns])
+            cost[own] = found
         out = np.zeros((len(texts), len(self.langs)))
-        n = np.diff(go)
         for j in range(len(self.langs)):
             total = np.concatenate([[0.0], np.cumsum(cost[:, j][codes], dtype=np.float64)])
-            out[:, j] = (total[go[1:]] - total[go[:-1]]) / np.maximum(n, 1)
-        return out, np.maximum(n - 1, 0)
+            out[:, j] = total[go[1:]] - total[go[:-1]]
+        return out, np.diff(go)
+
 
+class Fitted:
+    """The models of a set of learning rows, block by block."""
 
-def fit(learning: DataFrame) -> Model | None:
-    """Model of the rows' text by their non-null lang; counts cover every row."""
+    def __init__(self, counts: DataFrame, blocks: int):
+        self.counts, self.blocks, self.shared = counts, blocks, Statistics(counts)
+        self.langs = self.shared.langs
+
+    def model(self, block: int) -> Model:
+        own = self.counts
+        if self.blocks > 1:
+            second, third = F.col("a").bitwiseAND(F.lit(_MASK)), F.shiftright("b", 21)
+            own = own.where(block_of(second, third, self.blocks) == block)
+        return Model(own.toPandas(), self.shared, block, self.blocks)
+
+
+def fit(learning: DataFrame) -> Fitted | None:
+    """Models of the rows' text by their non-null lang; counts cover every row and n-gram."""
     counts = common.shared_checkpoint(count_ngrams(learning.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang")))
-    least, size = 1, counts.count()
-    while size > MODEL_ROWS:
-        least *= 2
-        size = counts.where(F.col("n") >= least).count()
-    held = counts.where(F.col("n") >= least).toPandas()
-    return Model(held) if len(held) else None
+    size = counts.count()
+    return Fitted(counts, -(-size // MODEL_ROWS)) if size else None
 
 
-def score(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
-    """Adds lang_pred, lang_score, lang_entropy (of the best) and lang_chars to df; columns of these names are replaced."""
-    names = ["lang_pred", "lang_score", "lang_entropy", "lang_chars"]
-    df = df.drop(*names)
+NAMES = ["lang_pred", "lang_score", "lang_entropy", "lang_chars"]
+
+
+def _costs(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
+    """df with _costs, the block's costs by language, and _grams, the number of n-grams of the text."""
     at = df.columns.index(text)
     shared = df.sparkSession.sparkContext.broadcast(model)
 
@@ -219,24 +265,46 @@ def score(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
             texts = batch.column(at).to_pylist()
             for lo, hi in _blocks(texts):
                 part = [t or "" for t in texts[lo:hi]]
-                if own is None:
-                    lang, prob, best, n = ["und"] * len(part), np.zeros(len(part)), np.zeros(len(part)), np.zeros(len(part), np.int64)
-                else:
-                    ce, n = own.cross_entropies(part)
-                    k = ce.argmin(axis=1)
-                    best = ce[np.arange(len(part)), k]
-                    # confidence: posterior over the languages as if of at most 40 independent characters
-                    prob = 1 / np.exp(-(ce - best[:, None]) * np.clip(n, 1, 40)[:, None]).sum(axis=1)
-                    lang = [own.langs[x] if m else "und" for x, m in zip(k, n, strict=True)]
-                    prob, best = np.where(n > 0, prob, 0.0), np.where(n > 0, best, 0.0)
-                cols = [pa.array(lang, pa.string()), pa.array(prob, pa.float64()), pa.array(best, pa.float64()), pa.array(n, pa.int64())]
-                yield pa.RecordBatch.from_arrays([*batch.slice(lo, hi - lo).columns, *cols], names=[*batch.schema.names, *names])
-
-    kinds = ["string", "double", "double", "long"]
-    schema = df.withColumns({n: F.lit(None).cast(k) for n, k in zip(names, kinds, strict=True)}).schema
+                sums, n = own.costs(part) if own is not None else (np.zeros((len(part), 0)), np.zeros(len(part), np.int64))
+                width = sums.shape[1]
+                costs = pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1) * width, pa.int32()), pa.array(sums.ravel(), pa.float64()))
+                yield pa.RecordBatch.from_arrays([*batch.slice(lo, hi - lo).columns, costs, pa.array(n, pa.int64())], names=[*batch.schema.names, "_costs", "_grams"])
+
+    schema = df.withColumns({"_costs": F.array(F.lit(0.0)), "_grams": F.lit(0).cast("long")}).schema
     return common.map_arrow(df, run, schema)
 
 
+def score(df: DataFrame, fitted: Fitted | None, text: str = "text") -> DataFrame:
+    """Adds lang_pred, lang_score, lang_entropy (of the best) and lang_chars to df; columns of these names are replaced."""
+    df = df.drop(*NAMES)
+    if fitted is None:
+        nothing = [F.lit("und"), F.lit(0.0), F.lit(0.0), F.lit(0).cast("long")]
+        return df.withColumns(dict(zip(NAMES, nothing, strict=True)))
+    if fitted.blocks == 1:
+        costed = _costs(df, fitted.model(0), text)
+    else:
+        # a row number joins the blocks' parts again, so the rows are written once; each part is written before the next model is made
+        path = scratch_path(df.sparkSession, "language-rows")
+        df.withColumn("_row", F.monotonically_increasing_id()).write.parquet(path)
+        rows, parts = df.sparkSession.read.parquet(path), []
+        for k in range(fitted.blocks):
+            parts.append(scratch_path(df.sparkSession, f"language-costs-{k}"))
+            _costs(rows.select("_row", text), fitted.model(k), text).drop(text).write.parquet(parts[-1])
+        sums = F.array(*[F.sum(F.get("_costs", F.lit(j))) for j in range(len(fitted.langs))])
+        total = df.sparkSession.read.parquet(*parts).groupBy("_row").agg(sums.alias("_costs"), F.max("_grams").alias("_grams"))
+        costed = rows.join(total, "_row").drop("_row")
+    chars = F.greatest(F.col("_grams") - 1, F.lit(0))
+    entropies = F.transform("_costs", lambda c: c / F.greatest(F.col("_grams"), F.lit(1)))
+    out = costed.withColumn("_costs", entropies).withColumn("_least", F.array_min("_costs")).withColumn("lang_chars", chars)
+    # confidence: posterior over the languages as if of at most 40 independent characters
+    most = F.least(F.greatest("lang_chars", F.lit(1)), F.lit(40))
+    weight = F.aggregate("_costs", F.lit(0.0), lambda s, c: s + F.exp(-(c - F.col("_least")) * most))
+    some = F.col("lang_chars") > 0
+    name = F.get(F.array(*[F.lit(x) for x in fitted.langs]), (F.array_position("_costs", F.col("_least")) - 1).cast("int"))
+    made = [F.when(some, name).otherwise("und"), F.when(some, 1 / weight).otherwise(0.0), F.when(some, F.col("_least")).otherwise(0.0), F.col("lang_chars")]
+    return out.withColumns(dict(zip(NAMES, made, strict=True))).drop("_costs", "_grams", "_least").select(*df.columns, *NAMES)
+
+
 def rejected(scored: DataFrame, learned) -> DataFrame:
     """Adds lang_rejected; ``learned``: the condition for the rows on which the limits are calibrated.
 

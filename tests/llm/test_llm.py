@@ -249,23 +249,86 @@ def test_language_accuracy_and_edges(spark, tmp_path):
     assert kept.columns[-1] == "lang_pred" and kept.where("lang_pred <> 'x' or doc_id >= 1000000000").count() == 0
 
 
-def test_language_probabilities_sum_to_one():
-    counts = []
-    for lang, text in (("a", "abra cadabra abba"), ("b", "bob dab add")):
-        chars, off = langid.characters([text])
-        at, _ = langid.grams(chars, off)
-        a, b = (chars[at] << 21) | chars[at + 1], (chars[at + 2] << 21) | chars[at + 3]
-        counts += [(lang, x, y) for x, y in zip(a.tolist(), b.tolist(), strict=True)]
-    import pandas as pd
-
-    df = pd.DataFrame(counts, columns=["lang", "a", "b"]).groupby(["lang", "a", "b"]).size().reset_index(name="n")
-    model = langid.Model(df)
+LEARNING = [("a", "abra cadabra abba"), ("b", "bob dab add"), ("a", "Abracadabra!"), ("b", "a bad dad"), (None, "zzz"), ("a", None), ("b", "")]
+
+
+def learned(spark):
+    return langid.fit(spark.createDataFrame(LEARNING, "lang string, text string"))
+
+
+def test_language_probabilities_sum_to_one(spark):
+    model = learned(spark).model(0)
     letters = np.arange(32, 32 + int(round(1 / model.uniform)))
     for before in ("abr", "zzz", "  a"):
         p = np.exp(-model.work_out([np.full(len(letters), ord(c)) for c in before] + [letters]))
         assert np.allclose(p.sum(axis=0), 1.0, atol=1e-3)
 
 
+def plain_kneser_ney(rows):
+    """{language: probability of a character after three}, from the formulas and without any hashing."""
+    counts = collections.defaultdict(collections.Counter)
+    for lang, text in rows:
+        if lang is not None and text is not None:
+            own = "".join(c if c.isalpha() else " " for c in text.lower())
+            padded = "   " + re.sub(" +", " ", own).lstrip() + " "
+            counts[lang].update(padded[k : k + 4] for k in range(len(padded) - 3))
+    levels = {}
+    for lang, own in counts.items():
+        of = {4: own}
+        for order in (3, 2, 1):
+            of[order] = collections.Counter(g[1:] for g in of[order + 1])
+        levels[lang] = of
+    uniform = 1 / (max(len(of[1]) for of in levels.values()) + 1000)
+
+    def probability(lang, gram, order=4):
+        if order == 0:
+            return uniform
+        own, gram = levels[lang][order], gram[-order:]
+        lower = probability(lang, gram, order - 1)
+        after = {g: n for g, n in own.items() if g[:-1] == gram[:-1]}
+        if not after:
+            return lower
+        n1, n2 = (sum(n == k for n in own.values()) for k in (1, 2))
+        discount = min(max(n1 / (n1 + 2 * n2) if n1 + 2 * n2 else 0.5, 0.1), 0.95)
+        total = sum(after.values())
+        return max(own.get(gram, 0) - discount, 0) / total + discount * len(after) / total * lower
+
+    return probability
+
+
+def test_language_models_equal_plain_kneser_ney(spark, monkeypatch):
+    probability, wanted = plain_kneser_ney(LEARNING), ["abra", "  ab", "dab ", "zzzz", "bobz", " add", "cada", "xbra"]
+    columns = [np.array([ord(g[k]) for g in wanted]) for k in range(4)]
+    for rows in (langid.MODEL_ROWS, 8):  # one block, and several
+        monkeypatch.setattr(langid, "MODEL_ROWS", rows)
+        fitted = learned(spark)
+        assert fitted.langs == ["a", "b"] and (fitted.blocks > 2) == (rows == 8)
+        for block in range(fitted.blocks):
+            own = langid.block_of(columns[1], columns[2], fitted.blocks) == block
+            got = np.exp(-fitted.model(block).work_out([c[own] for c in columns]))
+            want = [[probability(lang, g) for lang in "ab"] for g, o in zip(wanted, own, strict=True) if o]
+            assert not own.any() or np.allclose(got, want, rtol=1e-5)
+
+
+def test_language_scores_by_blocks_are_the_same(spark, monkeypatch):
+    docs = table(spark, [r["text"] for r in spark.read.parquet(f"{ROOT}/documents.parquet").select("text").limit(120).collect()] + [None, "", "12"])
+    docs = docs.withColumn("lang", F.when(F.col("doc_id") % 2 == 0, "xx").otherwise("yy")).repartition(3)
+    want = {r["doc_id"]: r for r in langid.score(docs, langid.fit(docs)).collect()}
+    monkeypatch.setattr(langid, "MODEL_ROWS", 4000)
+    fitted = langid.fit(docs)
+    got = langid.score(docs, fitted)
+    assert fitted.blocks >= 3 and got.columns == langid.score(docs, None).columns
+    for r in got.collect():
+        w = want[r["doc_id"]]
+        assert r["lang_chars"] == w["lang_chars"] and r["lang_entropy"] == pytest.approx(w["lang_entropy"], rel=1e-6)
+        assert r["lang_pred"] == w["lang_pred"] and r["lang_score"] == pytest.approx(w["lang_score"], rel=1e-4)
+
+
+def test_language_of_a_very_long_text(spark):
+    got = langid.score(table(spark, ["abra cadabra " * 400_000]), learned(spark)).first()
+    assert got["lang_pred"] == "a" and got["lang_chars"] == 13 * 400_000
+
+
 # --- 4 decontamination ------------------------------------------------------------
 
 
@@ -673,4 +736,5 @@ def test_nulls_in_every_column(spark, tmp_path):
     assert rows == {
         "op1_substring_dedup": 2, "op2_exact_topk": 0, "op3_language_id": 4, "op4_decontaminate": 2, "op5_line_dedup": 4,
         "op6_toxicity": 4, "op7_byte_bpe": 4, "op8_url_filter": 2, "op9_pii": 4, "op10_jaccard_join": 4,
+        "op11_token_alignment": 4, "op12_lexical_search": 2, "op13_quality": 4,
     }
