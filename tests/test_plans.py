@@ -16,7 +16,8 @@ from tests.conftest import SMALL
 
 # Keys whose plan is built without running jobs first (no streams, models, writes).
 WRITES = ("stream_", "csv_", "parquet_glob", "gold_overwrite", "gold_incremental", "silver_append", "silver_quarantine", "replay_capped")
-JOBS = ("roc_auc", "label_encode", "comparison_fixed_scores", "metrics_roundtrip", "headline_detection", "assembled_features", "saved_model_scores")
+JOBS = ("roc_auc", "label_encode", "comparison_fixed_scores", "metrics_roundtrip", "headline_detection", "assembled_features", "saved_model_scores",
+        "tree_table_scores", "fit_certificates", "auc_by_round")
 PLAN_ONLY = [k for k in oracle.ORACLE if not k.startswith(WRITES) and k not in JOBS]
 
 
