@@ -190,6 +190,62 @@ def test_passages_recall_at_the_threshold(spark):
     assert missed <= 2
 
 
+def test_passages_do_not_depend_on_third_documents(spark):
+    texts, parts = [], []
+    for k in range(60):  # two texts share 100 words but one; one more text holds words 10 to 90 of all
+        passage = prose(7000 + k, 100).split()
+        texts.append(f"{prose(7100 + k, 20)} {' '.join(passage)} {prose(7200 + k, 20)}")
+        parts += [*passage[10:90], *prose(7500 + k, 20).split()]
+        passage[50] = "changed"
+        texts.append(f"{prose(7300 + k, 20)} {' '.join(passage)} {prose(7400 + k, 20)}")
+    for docs in (texts, [*texts, " ".join(parts)]):
+        rows = passages.passages(table(spark, docs, extra=False)).collect()
+        assert {r["doc_id"]: r["spans"] for r in rows if r["doc_id"] < 120} == dict.fromkeys(range(120), "20:120")
+
+
+def test_windows_give_every_run_its_minimum():
+    rng = np.random.default_rng(12)
+    for case in range(150):
+        n, w = int(rng.integers(1, 200)), int(rng.integers(2, 20))
+        h = rng.integers(1, [3, 6, 2**40][case % 3], n, dtype=np.uint64) << np.uint64(22)  # many ties, or none
+        fence = np.flatnonzero(rng.random(n) < 0.03)
+        c, left, right = passages.compact_windows(h, fence, w)
+        for a in range(n - w + 1):
+            if not ((fence >= a) & (fence < a + w)).any():
+                own = (c >= a) & (c < a + w) & (h[c] == h[a : a + w].min())
+                assert own.any(), (case, a)
+    # a shingle that is repeated has a centre every run, not at each place
+    assert len(passages.window_centres(np.full(10_000, 1 << 30, np.uint64), np.zeros(0, np.int64))) <= 10_000 // passages.WIDTH + 2
+
+
+def test_left_out_contexts_add_no_link_and_no_place():
+    rng, width = random.Random(4), 2 * passages.WIDTH - 1
+    for _ in range(4):
+        base = np.array([rng.randrange(1, 2**32) for _ in range(width)], np.uint32)
+        ctx = []
+        for _ in range(12):  # a stretch of the base around the centre, with edits that some share
+            own = np.array([rng.randrange(1, 2**32) for _ in range(width)], np.uint32)
+            lo, hi = rng.randrange(0, 30), rng.randrange(55, width + 1)
+            own[lo:hi] = base[lo:hi]
+            for _ in range(rng.randrange(4)):
+                own[rng.randrange(width)] = rng.randrange(1, 6)
+            ctx.append(own)
+        ctx = np.array(ctx)
+
+        def found(pairs):
+            label, places = list(range(len(ctx))), collections.defaultdict(set)
+            for i, j in pairs:
+                both = brute_runs(ctx[i], ctx[j])
+                places[i] |= both[0]
+                places[j] |= both[1]
+                if both[0]:
+                    label = [label[i] if x == label[j] else x for x in label]
+            return [[a == b for b in label] for a in label], {k: v for k, v in places.items() if v}
+
+        some = [(int(i), int(j)) for x, y in passages._group_pairs(ctx, np.sort(ctx, axis=1)) for i, j in zip(x, y, strict=True)]
+        assert found(some) == found(itertools.combinations(range(len(ctx)), 2))
+
+
 def test_contexts_by_postings_are_the_same(monkeypatch):
     rng = np.random.default_rng(3)
     ctx = rng.integers(1, 2**32, (120, 2 * passages.WIDTH - 1), dtype=np.uint32)
