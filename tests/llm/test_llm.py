@@ -212,7 +212,7 @@ def test_windows_give_every_run_its_minimum():
         c, left, right = passages.compact_windows(h, fence, w)
         for a in range(n - w + 1):
             if not ((fence >= a) & (fence < a + w)).any():
-                own = (c >= a) & (c < a + w) & (h[c] == h[a : a + w].min())
+                own = (c >= a) & (c < a + w) & (h[c] == h[a : a + w].min()) & (c - left <= a) & (c + right >= a + w - 1)
                 assert own.any(), (case, a)
     # a shingle that is repeated has a centre every run, not at each place
     assert len(passages.window_centres(np.full(10_000, 1 << 30, np.uint64), np.zeros(0, np.int64))) <= 10_000 // passages.WIDTH + 2
