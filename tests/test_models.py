@@ -112,6 +112,22 @@ def test_dictionary_is_sorted_dense_and_keeps_unseen(spark):
     assert dictionary.learn(df.limit(0), ["c", "d"]).count() == 0
 
 
+def test_encoding_leaves_rows_in_their_partitions(spark):
+    """Two values must not put all rows into two tasks, whatever size Spark takes the dictionary for."""
+    df = spark.range(8000).repartition(8).select("id", F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("c"), F.lit("x").alias("d"))
+    words = dictionary.learn(df, ["c", "d"])
+    enc = dictionary.encode(df, words, dictionary.sizes(words))
+    parts = [r["count"] for r in enc.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(parts) == 8 and max(parts) < 2000
+    assert enc.where((F.col("c_code") != F.col("id") % 2) | (F.col("d_code") != 0)).count() == 0
+    large, dictionary.BROADCAST = dictionary.BROADCAST, 0  # joined by shuffle: the same codes
+    try:
+        other = dictionary.encode(df, words, dictionary.sizes(words))
+        assert sorted(other.collect()) == sorted(enc.collect())
+    finally:
+        dictionary.BROADCAST = large
+
+
 def test_large_dictionary_needs_no_driver(spark):
     df = spark.range(200_000).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("c"))
     words = dictionary.learn(df, ["c"])
