@@ -5,11 +5,12 @@ Generators of high recall propose further, overlapping spans: emails without a d
 domain or spelled out ("x at y dot com"), dotted and grouped digits of any length, and long
 tokens of letters and digits after words such as ``password`` (kind ``secret``).  Boosted
 trees score each candidate by its format (lengths, character shares, groups, checksum,
-entropy) and context (hint words and characters around it).  They learn from a bounded,
-hash-ordered sample of candidates with weak labels: base spans and hinted secrets are
-positive, other candidates without a hint negative, the rest unlabelled.  Each kind's
-threshold is the smallest one whose precision on the held-out part of that sample reaches
-PRECISION.  Accepted candidates that overlap no base span, the best of overlapping ones,
+entropy) and context (hint words and characters around it).  They learn from all
+candidates with weak labels: base spans and hinted secrets are
+positive, other candidates without a hint negative, the rest unlabelled.  A quarter of
+them, by hash, is held out, and each kind's threshold is the smallest score whose precision
+on all of that part reaches PRECISION.  Fit and thresholds run on Spark (``trees``, ``ordered``);
+equal candidates are one row with their number.  Accepted candidates that overlap no base span, the best of overlapping ones,
 are added.
 
 Positions are code points, the end exclusive.  Null and empty texts have no spans; repeated
@@ -31,10 +32,11 @@ from pyspark.sql import functions as F
 
 from riskhouse.llm import common
 from riskhouse.llm.trees import BoostedTrees
+from riskhouse.operators.ordered import running
 
 KINDS = ["email", "ip", "card", "phone", "secret"]
-#: Labelled candidates that the trees learn from at most, and the precision that a threshold has to reach.
-SAMPLE, PRECISION = 20_000, 0.97
+#: Precision that a threshold has to reach, in percent.
+PRECISION = 97
 #: Words that announce personal data.
 HINTS = {
     "email": ["mail", "e-mail", "email", "courriel", "correo", "contact"],
@@ -188,25 +190,36 @@ def propose(df: DataFrame, text: str = "text") -> DataFrame:
 def fit(proposed: DataFrame) -> tuple[BoostedTrees | None, list[float]]:
     """Trees, and a threshold for each kind (2.0: nothing is accepted)."""
     c = proposed.select(F.explode("candidates").alias("c")).select("c.*").where("label >= 0")
-    key = F.xxhash64("kind", "start", "stop", "x")
-    rows = c.select("kind", "label", "x", key.alias("h")).orderBy("h", "label").limit(SAMPLE).toPandas()
-    if rows["label"].nunique() < 2:
-        return None, [2.0] * len(KINDS)
-    x, y, kind = np.array(rows["x"].tolist(), np.float64), rows["label"].to_numpy(), rows["kind"].to_numpy()
-    held = rows["h"].to_numpy() % 4 == 0
-    if len(set(y[~held])) < 2:
-        return None, [2.0] * len(KINDS)
-    model = BoostedTrees().fit(x[~held], y[~held])
-    p, limits = model.predict(x[held]), []
-    for k in range(len(KINDS)):
-        own = kind[held] == k
-        order = np.argsort(-p[own], kind="stable")
-        good = np.cumsum(y[held][own][order]) / np.arange(1, own.sum() + 1)
-        ok = np.flatnonzero(good >= PRECISION)
-        limits.append(max(0.5, float(p[own][order][ok[-1]])) if len(ok) else 2.0)
+    held = F.xxhash64("kind", "start", "stop", "x") % 4 == 0
+    rows = common.shared_checkpoint(c.groupBy("kind", "label", "x", held.alias("held")).agg(F.count(F.lit(1)).alias("n")))
+    limits = [2.0] * len(KINDS)
+    if rows.where(~F.col("held")).agg(F.count_distinct("label")).first()[0] < 2:
+        return None, limits
+    model = BoostedTrees().fit(rows.where(~F.col("held")), rows.select(F.size("x")).first()[0])
+    for kind, limit in thresholds(_predicted(rows.where("held"), model)).collect():  # a row a kind
+        limits[kind] = max(0.5, limit)
     return model, limits
 
 
+def _predicted(rows: DataFrame, model: BoostedTrees) -> DataFrame:
+    """kind, label, n and the score p."""
+
+    def run(batches):
+        for batch in batches:
+            x = batch.column("x").to_pylist()
+            p = model.predict(np.array(x, np.float64)) if x else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([batch.column("kind"), batch.column("label"), batch.column("n"), pa.array(p, pa.float64())], names=["kind", "label", "n", "p"])
+
+    return common.map_arrow(rows, run, "kind int, label int, n long, p double")
+
+
+def thresholds(scored: DataFrame) -> DataFrame:
+    """(kind, limit): the smallest score of a kind down to which, equal scores included, at least PRECISION percent are of label 1."""
+    by_score = scored.groupBy("kind", (-F.col("p")).alias("order")).agg(F.sum(F.col("n") * (100 * F.col("label") - PRECISION)).alias("over"))
+    reached = running(by_score, ["kind"], ["order"], F.col("over"), "before").where(F.col("before") + F.col("over") >= 0)
+    return reached.groupBy("kind").agg(F.max("order").alias("order")).select("kind", (-F.col("order")).alias("limit"))
+
+
 def redact_spans(proposed: DataFrame, model: BoostedTrees | None, limits: list[float]) -> DataFrame:
     """Adds ``spans``: base spans and accepted candidates, by kind and start."""
     i, j = proposed.columns.index("base_spans"), proposed.columns.index("candidates")

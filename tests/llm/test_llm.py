@@ -13,7 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from riskhouse.llm import bpe, common, components, decontaminate, jaccard, kdtree, langid, lines, passages, pii, toxicity, urls
+from riskhouse.llm import bpe, common, components, decontaminate, jaccard, kdtree, langid, lines, passages, pii, toxicity, trees, urls
 
 ROOT = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -660,6 +660,42 @@ def test_pii_base_spans_equal_the_patterns():
     assert pii.base_spans("1" * 200_000 + " a@" * 50_000 + "9 " * 100_000) == []
 
 
+def proposals(spark, n, parts):
+    """Rows of one candidate each: more than the trees once learned from, label 1 where the second number is large."""
+    v = (F.col("id") * 7919 % 30011).cast("float")
+    x = F.array(F.lit(0).cast("float"), v, (F.col("id") % 3).cast("float"))
+    label = F.when((v > 20000) == (F.col("id") % 50 != 0), 1).otherwise(0)
+    item = F.struct(F.lit(0).alias("kind"), F.col("id").cast("int").alias("start"), (F.col("id") + 5).cast("int").alias("stop"), label.alias("label"), x.alias("x"))
+    return spark.range(n).repartition(parts).select(F.array(item).alias("candidates"))
+
+
+def test_pii_trees_learn_from_every_candidate(spark, monkeypatch):
+    n = 30_000
+    model, limits = pii.fit(proposals(spark, n, 7))
+    c = proposals(spark, n, 3).select(F.explode("candidates").alias("c")).select("c.*")
+    rows = c.withColumn("held", F.xxhash64("kind", "start", "stop", "x") % 4 == 0).toPandas()
+    x, y, held = np.array(rows["x"].tolist(), np.float64), rows["label"].to_numpy(), rows["held"].to_numpy()
+    for j in range(3):  # cuts are exact quantiles of all rows that are not held out
+        assert np.allclose(model.edges[j], np.unique(np.quantile(x[~held, j], np.linspace(0, 1, model.cuts)[1:-1])))
+    p = model.predict(x)
+    raw = np.full(n, model.base)  # the first tree's root splits all of them, and its value is their gradient's
+    g, h = (1 / (1 + np.exp(-raw)) - y)[~held].sum(), (np.exp(-raw) / (1 + np.exp(-raw)) ** 2)[~held].sum()
+    assert abs(model.trees[0][0][2] + model.rate * g / (h + model.ridge)) < 1e-6
+    order = sorted(set(p[held]), reverse=True)
+    ok = [s for s in order if y[held][p[held] >= s].mean() >= 0.97]
+    assert limits[0] == max(0.5, min(ok)) and limits[1:] == [2.0] * 4
+    monkeypatch.setattr(trees, "PART", 2_000)
+    monkeypatch.setattr(trees, "MOST", 3)
+    again, same = pii.fit(proposals(spark, n, 2))
+    assert again.parts > 9 and again.trees == model.trees and same == limits  # whatever the partitions
+
+
+def test_pii_thresholds_take_equal_scores_together(spark):
+    rows = [(0, 1, 97, 0.9), (0, 0, 3, 0.9), (0, 0, 1, 0.8), (0, 1, 40, 0.7), (2, 0, 1, 0.9), (3, 1, 1, 0.6), (3, 0, 5, 0.5)]
+    got = pii.thresholds(spark.createDataFrame(rows, "kind int, label int, n long, p double")).collect()
+    assert {r["kind"]: r["limit"] for r in got} == {0: 0.7, 3: 0.6}
+
+
 def test_pii_query(spark, tmp_path):
     texts = ["mail x.y@z.example.com and 4111 1111 1111 1111", None, "", "é\U0001f600 10.0.0.1 +1 (212) 555-0100", "clean words only"] + [
         f"w{k} password=ab{k}cd{k * 7919}ef and u{k}@h.org call 555-{k:04d}" for k in range(200)
