@@ -120,6 +120,8 @@ def test_encoding_leaves_rows_in_their_partitions(spark):
     parts = [r["count"] for r in enc.groupBy(F.spark_partition_id()).count().collect()]
     assert len(parts) == 8 and max(parts) < 2000
     assert enc.where((F.col("c_code") != F.col("id") % 2) | (F.col("d_code") != 0)).count() == 0
+    sorts = lambda d: d._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin")
+    assert sorts(enc) == 2 * sorts(words)  # joined by broadcast: only the dictionary's own plan, once a column
     large, dictionary.BROADCAST = dictionary.BROADCAST, 0  # joined by shuffle: the same codes
     try:
         other = dictionary.encode(df, words, dictionary.sizes(words))
