@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from riskhouse import schemas as S
 from riskhouse.operators import dictionary, features, models
-from riskhouse.operators.ensemble import Ensemble
+from riskhouse.operators.ensemble import NODES, Ensemble
 from riskhouse.operators.ordered import running
 from riskhouse.plans import queries
 from riskhouse.session import checkpointed, scratch_path
@@ -187,3 +187,15 @@ def test_stable_split_keeps_sides(spark):
     small, large = (features.stable_split(spark.range(n).withColumnRenamed("id", S.ID)) for n in (5000, 20000))
     assert small.join(large.withColumnRenamed("split", "other"), S.ID).where("split <> other").count() == 0
     assert 0.78 < large.where("split = 'train'").count() / 20000 < 0.82
+
+
+def test_a_walk_makes_the_vector_once_a_row(spark):
+    """The features must stand outside the walk: inside, every step of every tree would make the vector again."""
+    nodes = spark.createDataFrame([(t, n, 1, 2.0, *((1, 2) if n == 0 else (n, n)), float(n), 0.5) for t in range(3) for n in range(3)], NODES)
+    trees, x = Ensemble(nodes), F.array("a", "b")
+    rows = spark.range(4).select(F.col("id").cast("double").alias("b"), (-F.col("id")).cast("double").alias("a"))
+    df = rows.select("b", trees.margin(x).alias("m"), trees.leaf(0, x).alias("leaf"))
+    assert [tuple(r) for r in df.orderBy("b").collect()] == [(0.0, 1.5, 1), (1.0, 1.5, 1), (2.0, 1.5, 1), (3.0, 3.0, 2)]
+    for walk in (trees.margin(x), trees.leaf(0, x)):
+        text = rows.select(walk.alias("w"))._jdf.queryExecution().analyzed().toString()
+        assert "b#" in text and text.index("array(a#") < text.index("lambdafunction")
