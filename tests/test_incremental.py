@@ -286,3 +286,20 @@ def test_trend_with_state_over_restarts_and_series(spark):
     got = {(r.series, r.day.day): (r.exposure, r.change) for r in spark.read.parquet(out).collect()}
     want = {(net, d): (10.0 * d + len(net), None if d == 1 else 10.0) for d in range(1, 7) for net in ("visa", "discover")}
     assert got == want  # the last two days are not final yet
+
+
+def test_merges_shuffle_no_derived_column(spark, txn, whole):
+    """The hash and the label follow from other columns, and each field of an earlier survivor is shuffled once."""
+    lake, merged, write = Lake.fresh(spark), [], Lake.put_batch
+
+    def seen(table, name, df):
+        if table == "silver_survivors":
+            merged.append(df)
+        write(lake, table, name, df)
+
+    lake.put_batch = seen
+    for name, part in zip("abc", queries.deliveries(txn), strict=True):
+        incremental.merge_batch(lake, part, name)
+    assert len(merged) == 3 and not any({"row_hash", "risk_label", "_new", "_old"} & set(df.columns) for df in merged)
+    assert not any("row_hash" in df._jdf.queryExecution().optimizedPlan().toString().split("Relation")[0] for df in merged)
+    assert silver_of(lake) == whole[0]
