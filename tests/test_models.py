@@ -199,3 +199,23 @@ def test_a_walk_makes_the_vector_once_a_row(spark):
     for walk in (trees.margin(x), trees.leaf(0, x)):
         text = rows.select(walk.alias("w"))._jdf.queryExecution().analyzed().toString()
         assert "b#" in text and text.index("array(a#") < text.index("lambdafunction")
+
+
+def test_a_forest_keeps_nodes_while_rows_are_few_and_grows_the_same_trees(spark, monkeypatch):
+    rows = spark.range(600).select((F.col("id") % 3 == 0).cast("double").alias(S.LABEL), F.lit(1.0).alias("weight"), (F.col("id") * 37 % 101).cast("double").alias("C1"), (F.col("id") % 7).cast("double").alias("C2"))
+    rows = checkpointed(rows.coalesce(1))
+    few = models.estimator("rf", rows, QUICK["rf"], ["C1", "C2"])
+    monkeypatch.setattr(models, "NODE_IDS", 600 * QUICK["rf"]["numTrees"] - 1)
+    many = models.estimator("rf", rows, QUICK["rf"], ["C1", "C2"])
+    assert few.getStages()[-1].getCacheNodeIds() and not many.getStages()[-1].getCacheNodeIds()
+    a, b = (e.fit(rows).stages[-1] for e in (few, many))
+    assert [t.toDebugString.split("\n", 1)[1] for t in a.trees] == [t.toDebugString.split("\n", 1)[1] for t in b.trees]
+
+
+def test_a_fit_of_the_queries_is_saved_once(spark, monkeypatch):
+    fit, save, saved = models.fit, models.save, []
+    monkeypatch.setattr(queries, "_fitted", {})
+    monkeypatch.setattr(models, "fit", lambda kind, train: fit(kind, train, QUICK[kind]))
+    monkeypatch.setattr(models, "save", lambda model, path: (saved.append(path), save(model, path)))
+    paths = [queries.fitted(spark, "/root/testdata/sf0.001", "lr")[0] for _ in range(2)]
+    assert saved == paths[:1] and paths[0] == paths[1]
