@@ -246,6 +246,55 @@ def test_left_out_contexts_add_no_link_and_no_place():
         assert found(some) == found(itertools.combinations(range(len(ctx)), 2))
 
 
+def test_small_groups_compared_together_are_the_same(monkeypatch):
+    rng, width = np.random.default_rng(6), 2 * passages.WIDTH - 1
+    rows, tids, cut = [], [], [0]
+    for _ in range(60):
+        base, n = rng.integers(1, 2**32, width, dtype=np.uint32), int(rng.integers(2, 7))
+        for _ in range(n):
+            own = base.copy()
+            own[rng.integers(0, width, 6)] = rng.integers(1, 9, 6)
+            at = int(rng.integers(30, 60))
+            own = np.insert(own, at, rng.integers(1, 2**32, 3, dtype=np.uint32))[:width] if rng.random() < 0.5 else own
+            own[: int(rng.integers(0, 25))] = 0
+            rows.append(own)
+        tids.extend(rng.integers(0, 5, n).tolist())
+        cut.append(len(rows))
+    ctx, tids, cut = np.array(rows), np.array(tids), np.array(cut)
+    done, calls = rng.random(len(ctx)) < 0.1, []
+    want, places, more = set(), {}, set()
+    for lo, hi in itertools.pairwise(cut.tolist()):
+        for k, sure, covered, mine, rest in passages._compared(ctx[lo:hi], np.sort(ctx[lo:hi], axis=1), tids[lo:hi], done[lo:hi]):
+            want |= {(lo + k, lo + int(i)) for i in sure}
+            more |= {(lo + k, lo + int(i)) for i in rest}
+            for i, at in [(k, mine), *zip(sure.tolist(), covered, strict=True)]:
+                places[lo + i] = places.get(lo + i, False) | at
+    plain = passages._sure
+    monkeypatch.setattr(passages, "_sure", lambda *a: calls.append(1) or plain(*a))
+    got, found, rest = set(), {}, set()
+    for a, b, mine, covered, x, y in passages._compared_together(ctx, tids, done, cut):
+        got |= set(zip(a.tolist(), b.tolist(), strict=True))
+        rest |= set(zip(x.tolist(), y.tolist(), strict=True))
+        for i, at in [*zip(a.tolist(), mine, strict=True), *zip(b.tolist(), covered, strict=True)]:
+            found[i] = found.get(i, False) | at
+    assert want and more and (got, rest) == (want, more)
+    assert all((found[i] == places[i]).all() for i in found) and {i for i in places if np.any(places[i])} == {i for i in found if np.any(found[i])}
+    assert len(calls) < 7  # a step takes a context of every group, not one group after the other
+
+
+def test_verification_walks_no_run_without_repeats(monkeypatch):
+    rng = np.random.default_rng(8)
+    x = rng.integers(1, 2**63, 400, dtype=np.uint64)
+    y = np.concatenate([x[20:130], x[128:260], rng.integers(1, 2**63, 3, dtype=np.uint64), x[262:390]])
+    y[::11] = rng.integers(1, 2**63, len(y[::11]), dtype=np.uint64)
+    y[120:131] = rng.integers(1, 2**63, 11, dtype=np.uint64)
+    want, calls = brute_runs(x, y), []
+    monkeypatch.setattr(passages, "_near_runs", lambda *a: calls.append(a) or ([], []))
+    for spans, places in zip(passages.near_spans(x, y), want, strict=True):
+        assert places and places <= {k for a, b in spans for k in range(a, b)}
+    assert not calls
+
+
 def test_contexts_by_postings_are_the_same(monkeypatch):
     rng = np.random.default_rng(3)
     ctx = rng.integers(1, 2**32, (120, 2 * passages.WIDTH - 1), dtype=np.uint32)
